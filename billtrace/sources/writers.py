@@ -34,17 +34,24 @@ def write_table(
     writer.format(fmt).save(path)
 
 
-def create_tables(spark: SparkSession, database: str, tables=TABLES) -> None:
+def _create_database(spark: SparkSession, database: str, location: str | None) -> None:
+    where = "" if location is None else f" LOCATION '{location}'"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
+
+
+def create_tables(spark: SparkSession, database: str, tables=TABLES, location: str | None = None) -> None:
     """The typed tables, where they do not exist yet."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    _create_database(spark, database, location)
     for name, schema in tables.items():
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet")
 
 
-def rebuild_tables(spark: SparkSession, database: str, frames: dict[str, DataFrame]) -> DataFrame:
+def rebuild_tables(
+    spark: SparkSession, database: str, frames: dict[str, DataFrame], location: str | None = None
+) -> DataFrame:
     """Write every frame as a table from scratch, never appending; returns the rows of each."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    _create_database(spark, database, location)
     counts = []
     for name, df in frames.items():
         table = f"{database}.{name}"
