@@ -83,10 +83,10 @@ def chain(triples: DataFrame, predicates: Sequence[str], nodes: Sequence[str]) -
 
 
 def resolve_blank_nodes(triples: DataFrame) -> DataFrame:
-    """(s, p, inner predicate, value) for every object that is a blank node."""
-    outer = triples.filter(F.col("o_kind") == "bnode").select("s", "p", F.col("o").alias("__b")).distinct()
-    inner = triples.select(F.col("s").alias("__b"), F.col("p").alias("p_inner"), F.col("o").alias("valore")).distinct()
-    return outer.join(inner, "__b").drop("__b")
+    """(s, p, nodo, inner predicate, value) for every object that is a blank node."""
+    outer = triples.filter(F.col("o_kind") == "bnode").select("s", "p", F.col("o").alias("nodo")).distinct()
+    inner = triples.select(F.col("s").alias("nodo"), F.col("p").alias("p_inner"), F.col("o").alias("valore")).distinct()
+    return outer.join(inner, "nodo").select("s", "p", "nodo", "p_inner", "valore")
 
 
 def collapse_blank_nodes(triples: DataFrame, predicate: str, fields: Sequence[str]) -> DataFrame:

@@ -69,7 +69,7 @@ def p6(t: Tables):
 
 @query("p7_missing_columns", "SELECT s_suppkey, s_name, CAST(NULL AS STRING) AS sigla, 0 AS n_cofirmatari FROM supplier")
 def p7(t: Tables):
-    schema = T.StructType().add("s_suppkey", "long").add("sigla", "string").add("n_cofirmatari", "int")
+    schema = T.StructType().add("s_suppkey", "long").add("sigla", "string").add("n_cofirmatari", T.IntegerType())
     return shape.ensure_columns(t("supplier").select("s_suppkey", "s_name"), schema, {"n_cofirmatari": 0})
 
 
