@@ -22,24 +22,40 @@ from ..session import shared_dir
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # odd 64-bit multiplier (golden ratio)
 
 
+def _bind(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` worked out once, not once for each use."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _runs(text: Column | str, n: int, of) -> Column:
+    words = F.split(F.lower(collapse_space(text)), " ")
+
+    def all_runs(w: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(w) - (n - 1), F.lit(1)))
+        return F.array_distinct(F.transform(starts, lambda i: of(F.slice(w, i, n))))
+
+    return _bind(words, all_runs)
+
+
 def shingles(text: Column | str, n: int = 3) -> Column:
     """Distinct hashes of the runs of ``n`` words; a shorter text is one run."""
-    words = F.split(F.lower(collapse_space(text)), " ")
-    starts = F.sequence(F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(1)))
-    return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, n))))
+    return _runs(text, n, lambda run: F.xxhash64(run))
 
 
 def ngrams(text: Column | str, n: int = 3) -> Column:
     """Distinct runs of ``n`` words as text; a shorter text is one run."""
-    words = F.split(F.lower(collapse_space(text)), " ")
-    starts = F.sequence(F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(1)))
-    return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " ")))
+    return _runs(text, n, lambda run: F.array_join(run, " "))
 
 
 def jaccard(a: Column | str, b: Column | str) -> Column:
     """Shared part of two sets given as arrays without repeats."""
-    both = F.size(F.array_intersect(a, b)).cast("double")
-    return F.try_divide(both, F.size(a) + F.size(b) - both)
+    a, b = (F.col(c) if isinstance(c, str) else c for c in (a, b))
+
+    def share(p: Column) -> Column:
+        both = F.size(F.array_intersect(p["a"], p["b"])).cast("double")
+        return _bind(both, lambda n: F.try_divide(n, F.size(p["a"]) + F.size(p["b"]) - n))
+
+    return _bind(F.struct(a.alias("a"), b.alias("b")), share)
 
 
 def text_distance(pairs: DataFrame, a: str, b: str, n: int = 3) -> DataFrame:

@@ -124,6 +124,52 @@ ROLE_SQL = {
                       CASE WHEN doc_id % 4 = 0 THEN concat(' L''emendamento ', doc_id % 7 + 1, '.1 risulta Respinto.')
                            ELSE '' END) AS resoconto
         FROM documents""",
+    "initiatives": """
+        SELECT CAST(l_orderkey AS STRING) AS id_fase, CAST(l_orderkey % 7 + 13 AS INTEGER) AS legislatura,
+               concat('iniz/', l_linenumber, '-', l_partkey) AS uri_iniziativa,
+               CASE WHEN l_linenumber = 1 THEN '1' END AS primo_firmatario,
+               CASE WHEN l_suppkey % 4 <> 0 THEN concat('senatore/', l_suppkey) END AS uri_senatore,
+               concat('P', l_suppkey) AS nome_senatore, l_returnflag AS tipo_iniziativa,
+               CAST(l_shipdate AS DATE) AS data_firma, CAST(NULL AS DATE) AS data_ritiro_firma
+        FROM lineitem""",
+    "people": """
+        SELECT concat('senatore/', s_suppkey) AS senatore,
+               CASE WHEN s_suppkey % 3 = 0 THEN concat('Sen. ', s_name) END AS label,
+               CASE WHEN s_suppkey % 5 <> 0 THEN s_name END AS nome,
+               concat('N', s_nationkey) AS cognome, CASE WHEN s_suppkey % 2 = 0 THEN 'F' ELSE 'M' END AS genere,
+               '1960-01-01' AS dataNascita
+        FROM supplier""",
+    "joined": """
+        SELECT concat('senatore/', user_id) AS senatore, concat('gruppo/', event_id % 30) AS gruppo,
+               CASE WHEN event_id % 30 = 27 THEN 'Etichetta' END AS gruppoLabel,
+               CAST(CAST(ts AS DATE) AS STRING) AS inizio,
+               CASE WHEN event_id % 5 = 0 THEN NULL
+                    ELSE CAST(CAST(ts AS DATE) + CAST(event_id % 11 AS INTEGER) AS STRING) END AS fine
+        FROM events WHERE event_type = 'signup'""",
+    "group_titles": """
+        SELECT concat('gruppo/', n_nationkey) AS gruppo, concat(n_name, ' prima') AS titolo,
+               concat('S', n_nationkey) AS titoloBreve, '2024-01-15' AS fine, 1 AS pos FROM nation
+        UNION ALL
+        SELECT concat('gruppo/', n_nationkey), concat(n_name, ' poi'), concat('S', n_nationkey),
+               CASE WHEN n_nationkey % 2 = 0 THEN '2024-02-01' END, 2 FROM nation""",
+    "proposals": """
+        SELECT event_id AS em_id, user_id AS atto, CAST(ts AS DATE) AS data,
+               concat(event_id % 4 + 1, '.', event_id % 7) AS number, user_id AS p1, user_id + 1 AS p2,
+               concat('Sostituire <b> & ', props) AS testo
+        FROM events WHERE event_type = 'view'""",
+    "chamber_acts": """
+        SELECT concat('http://atto/', o_orderkey) AS atto, CASE WHEN o_orderkey % 10 = 0 THEN concat(o_orderkey, '-B')
+                    ELSE CAST(o_orderkey AS STRING) END AS id,
+               CAST(year(o_orderdate) AS INTEGER) AS legislatura, o_orderstatus AS titolo,
+               concat(year(o_orderdate), '0105') AS dc_date, 'Progetto di legge' AS tipo,
+               CASE WHEN o_orderkey % 2 = 0 THEN 'Parlamentare' END AS iniziativa,
+               concat('http://scheda/', o_orderkey) AS url_scheda_camera
+        FROM orders""",
+    "chamber_lines": """
+        SELECT concat('http://atto/', l_orderkey) AS atto, l_linenumber, l_returnflag, l_linestatus,
+               concat('dep/', l_suppkey) AS dep, l_partkey, CAST(l_shipdate AS DATE) AS giorno,
+               CAST(l_orderkey % 7 + 13 AS INTEGER) AS legislatura
+        FROM lineitem""",
     "triples": """
         SELECT concat('fornitore/', s_suppkey) AS s, 'type' AS p, 'Fornitore' AS o, 'iri' AS o_kind, CAST(NULL AS STRING) AS o_datatype FROM supplier
         UNION ALL SELECT concat('fornitore/', s_suppkey), 'nome', s_name, 'literal', NULL FROM supplier
@@ -145,7 +191,7 @@ ROLE_SQL = {
         UNION ALL SELECT concat('regione/', r_regionkey), 'nome', r_name, 'literal', NULL FROM region""",
 }
 
-_TABLES = re.compile(r"\bFROM (orders|lineitem|events|nation|conversations|documents)\b")
+_TABLES = re.compile(r"\bFROM (orders|lineitem|events|nation|conversations|documents|supplier)\b")
 
 
 def _triples(t) -> DataFrame:
