@@ -145,7 +145,7 @@ def x8(t: Tables):
     return flatten.bill_signers(bills.withColumn("versione", later))
 
 
-@query("x9_anchored_block", "SELECT page_id, concat(url, ' & altro') AS testo FROM pages")
+@query("x9_anchored_block", "SELECT page_id, concat('t ', url, ' & altro') AS testo FROM pages")
 def x9(t: Tables):
     html = F.concat(
         F.lit('<a name="x.1">t</a> <b>'), F.col("url"), F.lit('</b> & altro <a class="k" id="x.2">u</a>'), F.col("html")
