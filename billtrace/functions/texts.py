@@ -12,6 +12,8 @@ from .. import fixed_values as fixed
 
 # All Unicode white space, plus the separators U+001C..U+001F.
 ANY_SPACE = r"[\s\x1c-\x1f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# A run that is not already one plain blank: two or more, or one of another kind.
+UNEVEN_SPACE = f"{ANY_SPACE}{{2,}}|[{ANY_SPACE}&&[^ ]]"
 ASCII_SPACE = r"[\t\n\f\r ]"
 
 
@@ -26,7 +28,7 @@ def strip_space(c: Column | str) -> Column:
 
 def collapse_space(c: Column | str) -> Column:
     """One blank for each run of Unicode white space, none at the ends."""
-    return F.trim(F.regexp_replace(_col(c), f"{ANY_SPACE}+", " "))
+    return F.trim(F.regexp_replace(_col(c), UNEVEN_SPACE, " "))
 
 
 def fix_encoding(c: Column | str, pairs: Sequence[tuple[str, str]] = fixed.MOJIBAKE) -> Column:

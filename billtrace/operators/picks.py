@@ -61,14 +61,19 @@ def current_or_last(df: DataFrame, keys: Sequence[str], end: str, position: str)
     return first_per_key(df, keys, order)
 
 
-def first_non_null(df: DataFrame, keys: Sequence[str], cols: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """First value that is not NULL, column by column: values may come from different rows."""
+def first_values(cols: Sequence[str], order: Sequence[str], where: Column | None = None) -> list[Column]:
+    """Aggregates giving, for each column, its first value that is not NULL, among rows meeting ``where``."""
     picks = []
     for c in cols:
-        value = F.col(c)
-        rank = F.when(value.isNotNull(), F.struct(*[F.col(o) for o in order], value.alias("__value")))
-        picks.append(F.min_by(value, rank).alias(c))
-    return df.groupBy(*keys).agg(*picks)
+        wanted = F.col(c).isNotNull() if where is None else F.col(c).isNotNull() & where
+        rank = F.when(wanted, F.struct(*[F.col(o) for o in order], F.col(c).alias("__value")))
+        picks.append(F.min_by(F.col(c), rank).alias(c))
+    return picks
+
+
+def first_non_null(df: DataFrame, keys: Sequence[str], cols: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """First value that is not NULL, column by column: values may come from different rows."""
+    return df.groupBy(*keys).agg(*first_values(cols, order))
 
 
 def _pick(df: DataFrame, keys: Sequence[str], date: str, cols: Sequence[str], fn) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import LABEL_APPROVED, LABEL_ASSIGNED
@@ -46,13 +46,17 @@ def signatory_summary(signatures: DataFrame, act: str, person: str, name: str, i
     )
 
 
-def cosigner_counts(signatures: DataFrame, act: str, person: str, is_first: str) -> DataFrame:
+def cosigner_aggregates(person: str, is_first: str) -> list[Column]:
     """Co-signers with a person link, and all co-signers."""
     other = ~F.col(is_first)
-    return signatures.groupBy(act).agg(
+    return [
         F.count(F.when(other & F.col(person).isNotNull(), 1)).alias("n_cofirmatari"),
         F.count(F.when(other, 1)).alias("n_cofirmatari_totale"),
-    )
+    ]
+
+
+def cosigner_counts(signatures: DataFrame, act: str, person: str, is_first: str) -> DataFrame:
+    return signatures.groupBy(act).agg(*cosigner_aggregates(person, is_first))
 
 
 def procedure_dates(

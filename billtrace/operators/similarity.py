@@ -73,7 +73,9 @@ def _signature_bands(bands: int, rows: int):
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def band_keys(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        def keys(values) -> np.ndarray:
+        def keys(values) -> np.ndarray | None:
+            if values is None:
+                return None
             h = np.asarray(values, dtype=np.int64).view(np.uint64)
             low = np.full(seeds.size, np.iinfo(np.uint64).max, dtype=np.uint64)
             for part in np.array_split(h, max(1, h.size // 4096)):  # keeps the product small
@@ -99,11 +101,14 @@ def _saved(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _copies(marked: DataFrame) -> DataFrame:
+    leaders = marked.groupBy("__f").agg(F.min("id").alias("a"))
+    return marked.select("id", "__f").join(leaders, "__f").filter("id <> a").select("a", F.col("id").alias("b"))
+
+
 def exact_copies(df: DataFrame, key: str, text: str) -> DataFrame:
     """(leader, copy) for texts equal up to white space; the smallest key leads."""
-    marked = df.select(F.col(key), fingerprint(text).alias("__f"))
-    leaders = marked.groupBy("__f").agg(F.min(key).alias("a"))
-    return marked.join(leaders, "__f").filter(F.col(key) != F.col("a")).select("a", F.col(key).alias("b"))
+    return _copies(df.select(F.col(key).alias("id"), fingerprint(text).alias("__f")))
 
 
 def similar_pairs(
@@ -113,31 +118,40 @@ def similar_pairs(
 
     Copies come as (leader, copy, 1.0). Other texts meet in MinHash buckets, where each text
     is linked to one leader it is similar to. The links connect what is similar; they do not
-    list every pair. Runs jobs: one round for each leader of the fullest bucket.
+    list every pair. Like all MinHash buckets they may miss a pair close to the threshold.
+
+    Texts are never shuffled as a whole: a first pass makes fingerprints and bucket numbers
+    in place, and only texts that share a bucket are read again to be compared. Runs jobs:
+    one round for each leader of the fullest bucket.
     """
-    copies = exact_copies(df, key, text).withColumn("similarita", F.lit(1.0))
-    once = df.select(F.col(key).alias("id"), fingerprint(text).alias("__f"), F.col(text).alias("__t"))
-    once = once.groupBy("__f").agg(F.min_by(F.struct("id", "__t"), "id").alias("x")).select("x.id", "x.__t")
-    sets = _saved(once.select("id", shingles("__t", n).alias("s")))
-    keyed = sets.select("id", F.posexplode(_signature_bands(bands, rows)("s")).alias("band", "bucket"))
-    open_rows = _saved(keyed)
+    marks = _saved(
+        df.select(
+            F.col(key).alias("id"),
+            fingerprint(text).alias("__f"),
+            _signature_bands(bands, rows)(shingles(text, n)).alias("__bands"),
+        )
+    )
+    copies = _copies(marks).withColumn("similarita", F.lit(1.0))
+    once = marks.groupBy("__f").agg(F.min_by("__bands", "id").alias("__bands"), F.min("id").alias("id"))
+    open_rows = once.select("id", F.posexplode("__bands").alias("band", "bucket"))
     found = None
     while True:
         # Leaders of the buckets that still hold at least two texts.
         lead = open_rows.groupBy("band", "bucket").agg(F.min("id").alias("a"), F.count("*").alias("__n"))
-        member = open_rows.join(lead.filter("__n > 1").drop("__n"), ["band", "bucket"]).filter("id <> a")
+        member = _saved(open_rows.join(lead.filter("__n > 1").drop("__n"), ["band", "bucket"]).filter("id <> a"))
         links = member.select("a", F.col("id").alias("b")).distinct()
+        wanted = links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        sets = df.select(F.col(key).alias("id"), F.col(text).alias("__t")).join(wanted, "id", "left_semi")
+        sets = _saved(sets.select("id", shingles("__t", n).alias("s")))
         left = sets.select(F.col("id").alias("a"), F.col("s").alias("sa"))
         right = sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
         scored = links.join(right, "b").join(left, "a").select("a", "b", jaccard("sa", "sb").alias("similarita"))
-        scored = _saved(scored)
-        good = scored.filter(F.col("similarita") >= threshold)
+        good = _saved(scored.filter(F.col("similarita") >= threshold))
         found = good if found is None else found.union(good)
         done = good.select("a", F.col("b").alias("id"))
-        rest = _saved(member.join(done, ["a", "id"], "left_anti").select("id", "band", "bucket"))
-        if rest.isEmpty():
+        open_rows = member.join(done, ["a", "id"], "left_anti").select("id", "band", "bucket")
+        if open_rows.isEmpty():
             break
-        open_rows = rest
     return found.distinct().unionByName(copies)
 
 

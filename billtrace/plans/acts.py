@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import flatten
 from ..operators.documents import parse_amendments, parse_bills
+from ..session import staged
 from ..sources.readers import add_path_parts
 
 
@@ -15,9 +16,14 @@ def _located(parsed: DataFrame) -> DataFrame:
 
 
 def act_tables(bill_files: DataFrame, amendment_files: DataFrame, persons: DataFrame) -> dict[str, DataFrame]:
-    """Parse, enrich and flatten straight to tables; no whole act is ever put in one row."""
-    bills = flatten.one_per_version(_located(parse_bills(bill_files)).withColumn("versione", F.col("kind")))
-    amendments = flatten.with_metadata(_located(parse_amendments(amendment_files)))
+    """Parse, enrich and flatten straight to tables; no whole act is ever put in one row.
+
+    The parsed files and the persons feed several tables, so they are written once. Runs jobs.
+    """
+    bills = staged(_located(parse_bills(bill_files)).withColumn("versione", F.col("kind")), "bills")
+    bills = flatten.one_per_version(bills)
+    amendments = flatten.with_metadata(staged(_located(parse_amendments(amendment_files)), "amendments"))
+    persons = staged(persons, "persons")
     acts = bills.select("atto_id", "legislatura").union(amendments.select("atto_id", "legislatura")).distinct()
     return {
         "t_atti": acts,
@@ -30,8 +36,8 @@ def act_tables(bill_files: DataFrame, amendment_files: DataFrame, persons: DataF
 
 def build_documents(bill_files: DataFrame, amendment_files: DataFrame, per_part: int = 10_000) -> DataFrame:
     """The nested act documents, in parts of bounded size."""
-    bills = _located(parse_bills(bill_files)).withColumn("versione", F.col("kind"))
-    amendments = flatten.with_metadata(_located(parse_amendments(amendment_files)))
+    bills = staged(_located(parse_bills(bill_files)).withColumn("versione", F.col("kind")), "bills")
+    amendments = flatten.with_metadata(staged(_located(parse_amendments(amendment_files)), "amendments"))
     kept = amendments.select(
         "atto_id", "path", "id", "date", "number", "name", "target_ddl", "target_info", "proponents", "content"
     )

@@ -10,9 +10,9 @@ from ..fixed_values import SOURCE_SENATO
 from ..functions.uris import uri_tail
 from ..operators.coverage import coverage
 from ..operators.intervals import valid_at
-from ..operators.picks import first_non_null, first_per_key
+from ..operators.picks import first_per_key, first_values
 from ..operators.shape import canonical, is_flag, present, tolerant_int, with_constants, zero_filled
-from ..operators.signatories import cosigner_counts, with_groups, with_names
+from ..operators.signatories import cosigner_aggregates, with_groups, with_names
 from ..operators.timeline import amendment_counts
 
 
@@ -47,8 +47,8 @@ def senate_signers(initiatives: DataFrame, names: DataFrame, memberships: DataFr
     return canonical(out, schemas.SENATE_SIGNER_COLUMNS)
 
 
-def first_signer_columns(signers: DataFrame) -> DataFrame:
-    """First signer of each bill phase, column by column where several are listed."""
+def signer_summary(signers: DataFrame) -> DataFrame:
+    """First signer, column by column where several are listed, and co-signer counts of each bill phase."""
     cols = {
         "tipo_iniziativa": "tipo_iniziativa",
         "uri_senatore": "uri_primo_firmatario",
@@ -57,8 +57,9 @@ def first_signer_columns(signers: DataFrame) -> DataFrame:
         "gruppo_nome": "gruppo_primo_firmatario_nome",
         "gruppo_sigla": "gruppo_primo_firmatario_sigla",
     }
-    first = first_non_null(signers.filter("is_primo_firmatario"), ["id_fase"], list(cols), ["uri_iniziativa"])
-    return first.withColumnsRenamed(cols)
+    first = first_values(list(cols), ["uri_iniziativa"], F.col("is_primo_firmatario"))
+    counts = cosigner_aggregates("uri_senatore", "is_primo_firmatario")
+    return signers.groupBy("id_fase").agg(*first, *counts).withColumnsRenamed(cols)
 
 
 def senate_bills(
@@ -71,8 +72,7 @@ def senate_bills(
     out = out.withColumns(
         {"has_emendamenti": F.col("n_emendamenti") > 0, "has_emendamenti_akn": F.col("n_emendamenti_akn") > 0}
     )
-    out = out.join(first_signer_columns(signers), "id_fase", "left")
-    out = out.join(cosigner_counts(signers, "id_fase", "uri_senatore", "is_primo_firmatario"), "id_fase", "left")
+    out = out.join(signer_summary(signers), "id_fase", "left")
     out = zero_filled(out, ["n_cofirmatari", "n_cofirmatari_totale"])
     out = with_constants(out, fonte=SOURCE_SENATO, data_fetch=F.lit(fetched_at).cast("string"))
     return canonical(out, schemas.BILL_PHASE_COLUMNS)

@@ -9,6 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path, tune
+from ..sources import spread
 from .roles import ROLE_SQL, spark_role
 
 
@@ -45,7 +46,7 @@ class Tables:
 
     @cached_property
     def documents(self) -> DataFrame:
-        return self("documents")
+        return spread(self("documents"))
 
 
 def query(name: str, sql: str | None = None, roles: str = ""):

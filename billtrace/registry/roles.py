@@ -270,4 +270,4 @@ def spark_role(t, name: str) -> DataFrame:
         return _BUILT[name](t)
     text = ROLE_SQL[name]
     used = sorted(set(_TABLES.findall(text)))
-    return t.sql(_TABLES.sub(r"FROM {\1}", text), **{table: t(table) for table in used})
+    return t.sql(_TABLES.sub(r"FROM {\1}", text), **{table: t.documents if table == "documents" else t(table) for table in used})

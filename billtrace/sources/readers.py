@@ -63,19 +63,30 @@ def list_paths(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
 def add_path_parts(df: DataFrame, path: str = "path") -> DataFrame:
     """Add legislature, act, kind of document and file name of a ``LegN/AttoX/kind/file`` path.
 
-    A path that stops earlier leaves the later parts NULL.
+    A path that stops earlier leaves the later parts NULL. The path is matched and split
+    once per row, in a projection of its own.
     """
+    from_leg = F.regexp_substr(F.col(path), F.lit(r"(?<![^/])Leg\d+(?![^/]).*"))
+    parts = F.col("__parts")
+    act = F.when(F.startswith(F.get(parts, F.lit(1)), F.lit("Atto")), F.get(parts, F.lit(1)))
+    kind = F.when(act.isNotNull(), F.nullif(F.get(parts, F.lit(2)), F.lit("")))
+    return df.withColumn("__parts", F.split(from_leg, "/")).select(
+        *df.columns,
+        F.substring(F.get(parts, F.lit(0)), 4, 9).try_cast("int").alias("legislatura"),
+        act.alias("atto_id"),
+        kind.alias("kind"),
+        F.nullif(F.substring_index(F.col(path), "/", -1), F.lit("")).alias("file_name"),
+    )
 
-    def part(pattern: str) -> Column:
-        return F.nullif(F.regexp_extract(F.col(path), pattern, 1), F.lit(""))
 
-    return df.select(
-        "*",
-        part(r"(?:^|/)Leg(\d+)(?:/|$)").cast("int").alias("legislatura"),
-        part(r"(?:^|/)Leg\d+/(Atto[^/]*)").alias("atto_id"),
-        part(r"(?:^|/)Leg\d+/Atto[^/]*/([^/]+)").alias("kind"),
-        part(r"([^/]+)$").alias("file_name"),
-    )
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan over all cores when its files make fewer tasks than that.
+
+    Meant for work that is heavy per row, such as whole texts. A large table has more
+    tasks than cores, so it is left alone and nothing is shuffled.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 
 
 def read_ntriples(spark: SparkSession, path: str) -> DataFrame:
