@@ -68,32 +68,31 @@ def title_distance(a: Column | str, b: Column | str) -> Column:
     return F.levenshtein(a, b)
 
 
-def _signature_bands(bands: int, rows: int):
+def _with_bands(df: DataFrame, bands: int, rows: int) -> DataFrame:
+    """Replace the shingles ``s`` by one bucket number for each band of their MinHash signature."""
     seeds = np.arange(1, bands * rows + 1, dtype=np.uint64) * _MIX | np.uint64(1)
 
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def band_keys(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        def keys(values) -> np.ndarray | None:
-            if values is None:
-                return None
-            h = np.asarray(values, dtype=np.int64).view(np.uint64)
-            low = np.full(seeds.size, np.iinfo(np.uint64).max, dtype=np.uint64)
-            for part in np.array_split(h, max(1, h.size // 4096)):  # keeps the product small
-                x = part[:, None] * seeds[None, :]
-                x ^= x >> np.uint64(31)
-                x *= _MIX
-                low = np.minimum(low, (x ^ (x >> np.uint64(29))).min(axis=0))
-            grid = low.reshape(bands, rows)
-            out = np.arange(bands, dtype=np.uint64)
-            for r in range(rows):
-                out = (out ^ grid[:, r]) * _MIX
-                out ^= out >> np.uint64(32)
-            return out.view(np.int64)
-
-        for s in batches:
-            yield s.map(keys)
-
-    return band_keys
+    def bucket_numbers(shingle_hashes) -> np.ndarray:
+        h = np.asarray(shingle_hashes, dtype=np.int64).view(np.uint64)
+        low = np.full(seeds.size, np.iinfo(np.uint64).max, dtype=np.uint64)
+        for part in np.array_split(h, max(1, h.size // 4096)):  # keeps the product small
+            x = part[:, None] * seeds[None, :]
+            x ^= x >> np.uint64(31)
+            x *= _MIX
+            low = np.minimum(low, (x ^ (x >> np.uint64(29))).min(axis=0))
+        out = np.arange(bands, dtype=np.uint64)
+        for column in low.reshape(bands, rows).T:
+            out = (out ^ column) * _MIX
+            out ^= out >> np.uint64(32)
+        return out.view(np.int64)
+
+    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame.drop(columns="s").assign(bands=frame["s"].map(bucket_numbers))
+
+    others = [f for f in df.schema if f.name != "s"]
+    schema = T.StructType([*others, T.StructField("bands", T.ArrayType(T.LongType()))])
+    return df.filter("s is not null").select(*[f.name for f in others], "s").mapInPandas(batches, schema)
 
 
 def _saved(df: DataFrame) -> DataFrame:
@@ -124,16 +123,11 @@ def similar_pairs(
     in place, and only texts that share a bucket are read again to be compared. Runs jobs:
     one round for each leader of the fullest bucket.
     """
-    marks = _saved(
-        df.select(
-            F.col(key).alias("id"),
-            fingerprint(text).alias("__f"),
-            _signature_bands(bands, rows)(shingles(text, n)).alias("__bands"),
-        )
-    )
+    hashed = df.select(F.col(key).alias("id"), fingerprint(text).alias("__f"), shingles(text, n).alias("s"))
+    marks = _saved(_with_bands(hashed, bands, rows))
     copies = _copies(marks).withColumn("similarita", F.lit(1.0))
-    once = marks.groupBy("__f").agg(F.min_by("__bands", "id").alias("__bands"), F.min("id").alias("id"))
-    open_rows = once.select("id", F.posexplode("__bands").alias("band", "bucket"))
+    once = marks.groupBy("__f").agg(F.min_by("bands", "id").alias("bands"), F.min("id").alias("id"))
+    open_rows = once.select("id", F.posexplode("bands").alias("band", "bucket"))
     found = None
     while True:
         # Leaders of the buckets that still hold at least two texts.

@@ -93,7 +93,7 @@ def main(argv):
         try:
             diff, n = compare(q, spark, con, sf_dir)
         except Exception as exc:  # report and go on with the next query
-            diff, n = f"{type(exc).__name__}: {str(exc)[:700]}", -1
+            diff, n = f"{type(exc).__name__}: {str(exc)[:1500]}", -1
         mark = "ok  " if diff is None else "FAIL"
         bad += diff is not None
         print(f"{mark} {name} rows={n} {time.time() - start:.1f}s{'' if q.sql else ' (no SQL)'}", flush=True)
