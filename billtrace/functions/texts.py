@@ -134,12 +134,14 @@ def shorten_namespaces(c: Column | str, prefixes: dict[str, str] = fixed.NAMESPA
 
 
 def letters(c: Column | str) -> Column:
-    return F.regexp_count(_col(c), F.lit(r"\p{L}"))
+    return F.char_length(F.regexp_replace(_col(c), r"\P{L}+", ""))
 
 
 def words(c: Column | str) -> Column:
-    """Runs of non-blank characters."""
-    return F.regexp_count(_col(c), F.lit(r"[^\t\n\f\r ]+"))
+    """Runs of non-blank characters: the pieces of a split without the empty ones at the ends."""
+    text = _col(c)
+    blank_ends = [F.rlike(text, F.lit(p)).cast("int") for p in (f"^{ASCII_SPACE}", f"{ASCII_SPACE}\\z")]
+    return F.when(text == "", 0).otherwise(word_count(text) - blank_ends[0] - blank_ends[1])
 
 
 def sentences(c: Column | str) -> Column:

@@ -14,6 +14,7 @@ from ..fixed_values import START_VERSION
 from ..functions.texts import fix_encoding, join_texts, or_default, target_article
 from ..functions.uris import uri_tail
 from .intervals import asof_interval
+from .joins import attach
 from .picks import first_in_document, first_per_key
 
 
@@ -97,7 +98,7 @@ def proponent_rows(amendments: DataFrame, persons: DataFrame) -> DataFrame:
         listed, spans, "proponente_id", "data", "__start", "__end", [F.col("__pos")], "proponente_gruppo", people=people
     )
     name = F.when(F.col("__listed"), F.col("full_name")).otherwise(F.col("__file_name"))
-    return grouped.join(people, "proponente_id", "left").select(
+    return attach(grouped, people, ["proponente_id"]).select(
         "emendamento_id",
         "proponente_id",
         name.alias("proponente_nome"),
@@ -114,7 +115,7 @@ def nest(children: DataFrame, key: str, child: Column, order: Column, name: str,
     """
     counts = children.groupBy(key).agg(F.ceil(F.count("*") / F.lit(per_part)).alias("__parts"))
     packed = children.select(key, F.struct(order.alias("__order"), child.alias("__child")).alias("__x"))
-    spread = packed.join(counts, key).withColumn("parte", F.pmod(F.xxhash64("__x"), F.col("__parts")).cast("int"))
+    spread = attach(packed, counts, [key], "inner").withColumn("parte", F.pmod(F.xxhash64("__x"), F.col("__parts")).cast("int"))
     arrays = spread.groupBy(key, "parte").agg(F.array_sort(F.collect_list("__x")).alias("__all"))
     return arrays.select(key, "parte", F.transform("__all", lambda x: x["__child"]).alias(name))
 

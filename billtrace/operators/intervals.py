@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import NO_GROUP
+from ..session import staged
+from .joins import attach
 from .picks import first_per_key
 
 _MONTH = "__month"
@@ -65,7 +67,7 @@ def asof_interval(
 
     Known keys without a match, or rows without a date, get ``default``; keys that occur
     neither in ``people`` nor in ``intervals`` get NULL. One row comes out for each row
-    that goes in.
+    that goes in. Runs a job for the (key, date) lookup.
     """
     known = intervals.select(key) if people is None else intervals.select(key).union(people.select(key))
     dated = intervals.filter(F.col(key).isNotNull() & F.col(start).isNotNull())
@@ -84,7 +86,7 @@ def asof_interval(
         )
     )
     same = (F.col(key) == F.col("__key")) & F.col(at).eqNullSafe(F.col("__at"))
-    return left.join(lookup, same, "left").drop("__key", "__at")
+    return left.join(staged(lookup, "asof"), same, "left").drop("__key", "__at")
 
 
 def coalition_side(
@@ -99,7 +101,7 @@ def coalition_side(
     hits = _matches(left, ranges, [group], at, "inizio", "fine")
     in_majority = hits.select(group, at).distinct().withColumn("__in", F.lit(True))
     known = F.col(group).isNotNull() & F.col(at).isNotNull()
-    return left.join(in_majority, [group, at], "left").select(
+    return attach(left, in_majority, [group, at]).select(
         *left.columns,
         F.when(F.col("__in"), "maggioranza").when(known, "opposizione").alias(side),
     )

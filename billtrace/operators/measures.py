@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..fixed_values import END_VERSION, START_VERSION
 from ..functions import texts
 from .coverage import pivot_unique
+from .joins import attach
 
 
 def text_metrics(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
@@ -90,7 +91,7 @@ def growth_vs_fragmentation(articles: DataFrame, amendments: DataFrame, proponen
     table does; ``by_act=True`` also asks for the same act.
     """
     keys = ["atto_id", "num_clean"] if by_act else ["num_clean"]
-    return growth(articles).join(fragmentation(amendments, proponents, by_act), keys, "left")
+    return attach(growth(articles), fragmentation(amendments, proponents, by_act), keys)
 
 
 OUTCOME = r"(?i)l'emendamento\s+(\d+(?:\.\d+)*)\s+(?:è|e'|viene|risulta)\s+(approvato|respinto|ritirato)"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.uris import is_blank_node
+from .joins import attach
 
 
 def canonical(df: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -78,11 +79,16 @@ def tagged_union(frames: dict[str, DataFrame], tag: str) -> DataFrame:
 def replace_partitions(existing: DataFrame, new: DataFrame, by: Sequence[str]) -> DataFrame:
     """Rows of ``new``, and those rows of ``existing`` whose partition does not occur in ``new``.
 
-    The partition values are made distinct before the join, so the anti join compares
-    with one row for each partition.
+    The partition values are a small lookup, so ``existing`` is not shuffled by its few
+    partition values. Runs a job for them.
     """
     touched = new.select(*by).distinct()
-    return existing.join(touched, list(by), "left_anti").unionByName(new, allowMissingColumns=True)
+    return attach(existing, touched, by, "left_anti").unionByName(new, allowMissingColumns=True)
+
+
+def only_partitions(df: DataFrame, parts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows of the given partitions. Runs a job for the partition values."""
+    return attach(df, parts.select(*by).distinct(), by, "left_semi")
 
 
 def missing_partitions(requested: DataFrame, existing: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..fixed_values import LABEL_APPROVED, LABEL_ASSIGNED
 from ..functions.texts import full_name
+from .joins import attach
 from .picks import latest_membership
 from .shape import tagged_union
 
@@ -22,7 +23,7 @@ def with_names(signatures: DataFrame, names: DataFrame, key: str, stored: str, f
     """Replace the stored name by first and last name where the person is listed with one."""
     looked_up = names.select(F.col(key), full_name(first, last).alias("__name")).filter("__name is not null")
     looked_up = looked_up.groupBy(key).agg(F.min("__name").alias("__name"))
-    return signatures.join(looked_up, key, "left").select(
+    return attach(signatures, looked_up, [key]).select(
         *[c for c in signatures.columns if c != stored],
         F.coalesce(F.col("__name"), F.col(stored)).alias(stored),
     )
@@ -33,7 +34,7 @@ def with_groups(
 ) -> DataFrame:
     """Signatures with the columns of the person's latest membership."""
     wanted = memberships.select(person, start, *cols).filter(F.col(person).isNotNull())
-    return signatures.join(latest_membership(wanted, person, start).drop(start), person, "left")
+    return attach(signatures, latest_membership(wanted, person, start).drop(start), [person])
 
 
 def signatory_summary(signatures: DataFrame, act: str, person: str, name: str, is_first: str) -> DataFrame:

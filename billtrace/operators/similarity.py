@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.texts import collapse_space, fingerprint
-from ..session import shared_dir
+from ..session import shared_dir, staged
+from .joins import attach
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # odd 64-bit multiplier (golden ratio)
 
@@ -75,11 +76,11 @@ def _with_bands(df: DataFrame, bands: int, rows: int) -> DataFrame:
     def bucket_numbers(shingle_hashes) -> np.ndarray:
         h = np.asarray(shingle_hashes, dtype=np.int64).view(np.uint64)
         low = np.full(seeds.size, np.iinfo(np.uint64).max, dtype=np.uint64)
-        for part in np.array_split(h, max(1, h.size // 4096)):  # keeps the product small
-            x = part[:, None] * seeds[None, :]
-            x ^= x >> np.uint64(31)
+        for start in range(0, h.size, 256):  # a block that stays in the cache
+            x = np.multiply.outer(h[start : start + 256], seeds)
+            x ^= x >> np.uint64(32)
             x *= _MIX
-            low = np.minimum(low, (x ^ (x >> np.uint64(29))).min(axis=0))
+            np.minimum(low, x.min(axis=0), out=low)
         out = np.arange(bands, dtype=np.uint64)
         for column in low.reshape(bands, rows).T:
             out = (out ^ column) * _MIX
@@ -102,12 +103,12 @@ def _saved(df: DataFrame) -> DataFrame:
 
 def _copies(marked: DataFrame) -> DataFrame:
     leaders = marked.groupBy("__f").agg(F.min("id").alias("a"))
-    return marked.select("id", "__f").join(leaders, "__f").filter("id <> a").select("a", F.col("id").alias("b"))
+    return attach(marked.select("id", "__f"), leaders, ["__f"], "inner").filter("id <> a").select("a", F.col("id").alias("b"))
 
 
 def exact_copies(df: DataFrame, key: str, text: str) -> DataFrame:
     """(leader, copy) for texts equal up to white space; the smallest key leads."""
-    return _copies(df.select(F.col(key).alias("id"), fingerprint(text).alias("__f")))
+    return _copies(_saved(df.select(F.col(key).alias("id"), fingerprint(text).alias("__f"))))
 
 
 def similar_pairs(
@@ -132,7 +133,8 @@ def similar_pairs(
     while True:
         # Leaders of the buckets that still hold at least two texts.
         lead = open_rows.groupBy("band", "bucket").agg(F.min("id").alias("a"), F.count("*").alias("__n"))
-        member = _saved(open_rows.join(lead.filter("__n > 1").drop("__n"), ["band", "bucket"]).filter("id <> a"))
+        lead = lead.filter("__n > 1").drop("__n")
+        member = _saved(attach(open_rows, lead, ["band", "bucket"], "inner").filter("id <> a"))
         links = member.select("a", F.col("id").alias("b")).distinct()
         wanted = links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         sets = df.select(F.col(key).alias("id"), F.col(text).alias("__t")).join(wanted, "id", "left_semi")
@@ -163,9 +165,10 @@ def clusters(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         # u's larger neighbours now hang on u's smallest neighbour.
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = attach(both, low, ["u"], "inner").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.filter("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = _saved(large)
+        low = staged(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = _saved(small.union(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
         # Same edge set as in the last round: size and order-free hash agree.

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.texts import is_government_bill
 from ..operators.coalitions import bill_measures
 from ..operators.coverage import key_agreement, phase_summary, pivot_counts
+from ..operators.joins import attach
 from ..operators.measures import act_complexity, growth_vs_fragmentation
 from ..operators.picks import multi_phase
 from ..operators.timeline import iter_days
@@ -27,11 +28,11 @@ def analytic_star(bills: DataFrame, signers: DataFrame, coalitions: DataFrame) -
     The coalition table carries short names, so it joins on (legislatura, sigla).
     """
     sides = coalitions.select("legislatura", F.col("sigla").alias("gruppo_sigla"), F.col("maggioranza").alias("in_maggioranza"))
-    signed = signers.join(sides, ["legislatura", "gruppo_sigla"], "left")
+    signed = attach(signers, sides, ["legislatura", "gruppo_sigla"])
     measures = bill_measures(signers, "id_fase", "uri_iniziativa", "gruppo_uri")
     per_leg = bills.groupBy("legislatura").agg(F.sum("n_emendamenti").alias("n_emendamenti_per_leg"))
     facts = iter_days(bills, "data_presentazione", "data_stato_ddl").join(measures, "id_fase", "left")
-    facts = facts.join(per_leg, "legislatura", "left").withColumn(
+    facts = attach(facts, per_leg, ["legislatura"]).withColumn(
         "is_governativo", is_government_bill("natura", "descr_iniziativa")
     )
     zero = {c: F.coalesce(c, F.lit(0)) for c in ("n_firmatari", "n_gruppi_firmatari")}

@@ -11,6 +11,7 @@ from ..functions.dates import parse_yyyymmdd
 from ..functions.texts import full_name
 from ..functions.uris import uri_tail
 from ..operators.coverage import coverage
+from ..operators.joins import attach
 from ..operators.picks import earliest, first_per_key, first_role_wins, latest
 from ..operators.shape import canonical, present, tolerant_int, with_constants, without_blank_keys
 from ..operators.signatories import procedure_dates, role_union, signatory_summary, with_groups
@@ -38,7 +39,8 @@ def chamber_signers(first: DataFrame, others: DataFrame, names: DataFrame, membe
     """One row per act and deputy; the first-signer role wins over the other."""
     who = names.groupBy("dep").agg(F.min(full_name("nome", "cognome")).alias("nome_deputato"))
     roles = role_union(first, others).withColumn("is_primo_firmatario", F.col("ruolo") == "primo").drop("ruolo")
-    rows = first_role_wins(roles, ["atto", "dep"], "is_primo_firmatario").join(who, "dep", "left")
+    rows = first_role_wins(roles, ["atto", "dep"], "is_primo_firmatario")
+    rows = attach(rows, who, ["dep"])
     rows = rows.select(
         uri_tail("atto").alias("id_atto"),
         "legislatura",

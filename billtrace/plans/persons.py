@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.texts import full_name
 from ..functions.uris import uri_tail
 from ..operators.flatten import nest
+from ..operators.joins import attach
 from ..operators.picks import current_or_last, first_per_key
 
 
@@ -21,7 +22,7 @@ def group_labels(denominations: DataFrame) -> DataFrame:
 def membership_rows(memberships: DataFrame, denominations: DataFrame) -> DataFrame:
     """Distinct memberships with group name: denomination, else label, else end of the URI."""
     spans = first_per_key(memberships, ["senatore", "gruppo", "inizio", "fine"], [])
-    labelled = spans.join(group_labels(denominations), "gruppo", "left")
+    labelled = attach(spans, group_labels(denominations), ["gruppo"])
     name = F.coalesce("nome", F.nullif(F.col("gruppoLabel"), F.lit("")), uri_tail("gruppo"))
     return labelled.select("senatore", F.col("gruppo").alias("uri"), name.alias("nome"), "inizio", "fine", "sigla")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.documents import parse_bills
-from ..operators.shape import replace_partitions
+from ..operators.shape import only_partitions, replace_partitions
 from ..streaming import check_integrity, insert_absent, insert_children, partitions_to_build, run_metrics, stream_new_files, table_counts
 from .base import Tables, query
 from .sources import _corpus
@@ -19,14 +19,14 @@ from .sources import _corpus
 def i1(t: Tables):
     acts = t.role("acts").select("id_atto", "legislatura")
     todo = partitions_to_build(acts, acts.filter("legislatura < 1998"), ["legislatura"])
-    return acts.join(todo, "legislatura", "left_semi")
+    return only_partitions(acts, todo, ["legislatura"])
 
 
 @query("i1_forced_partitions", "SELECT id_atto, legislatura, legislatura = 1996 AS rifatto FROM acts", "acts")
 def i1_forced(t: Tables):
     acts = t.role("acts").select("id_atto", "legislatura")
     todo = partitions_to_build(acts.filter("legislatura = 1996"), acts, ["legislatura"], force=True)
-    new = acts.join(todo, "legislatura", "left_semi").withColumn("rifatto", F.lit(True))
+    new = only_partitions(acts, todo, ["legislatura"]).withColumn("rifatto", F.lit(True))
     return replace_partitions(acts.withColumn("rifatto", F.lit(False)), new, ["legislatura"])
 
 

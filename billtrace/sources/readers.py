@@ -63,20 +63,20 @@ def list_paths(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
 def add_path_parts(df: DataFrame, path: str = "path") -> DataFrame:
     """Add legislature, act, kind of document and file name of a ``LegN/AttoX/kind/file`` path.
 
-    A path that stops earlier leaves the later parts NULL. The path is matched and split
-    once per row, in a projection of its own.
+    A path that stops earlier leaves the later parts NULL. ``inline`` keeps later filters from
+    being pushed below and matching the path a second time.
     """
     from_leg = F.regexp_substr(F.col(path), F.lit(r"(?<![^/])Leg\d+(?![^/]).*"))
     parts = F.col("__parts")
     act = F.when(F.startswith(F.get(parts, F.lit(1)), F.lit("Atto")), F.get(parts, F.lit(1)))
     kind = F.when(act.isNotNull(), F.nullif(F.get(parts, F.lit(2)), F.lit("")))
-    return df.withColumn("__parts", F.split(from_leg, "/")).select(
-        *df.columns,
+    found = F.struct(
         F.substring(F.get(parts, F.lit(0)), 4, 9).try_cast("int").alias("legislatura"),
         act.alias("atto_id"),
         kind.alias("kind"),
         F.nullif(F.substring_index(F.col(path), "/", -1), F.lit("")).alias("file_name"),
     )
+    return df.withColumn("__parts", F.split(from_leg, "/")).select(*df.columns, F.inline(F.array(found)))
 
 
 def spread(df: DataFrame) -> DataFrame:
