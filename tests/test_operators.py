@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from billtrace.operators import coalitions, coverage, flatten, graph, measures, picks, shape, signatories
+from billtrace.operators import coalitions, coverage, flatten, graph, measures, picks, shape, signatories, timeline
 from billtrace.operators.intervals import asof_interval, coalition_side, valid_at
 from billtrace.plans.chamber import state_history
 from billtrace.plans.persons import group_labels
@@ -233,6 +233,24 @@ def test_votes(spark):
     assert rows(out) == [("v1", "favorevole", "1"), ("v1", "favorevole", "2")]
 
 
+def test_amendment_counts_equal_brute_force(spark):
+    rnd = random.Random(4)
+    links = [(e, "hot" if rnd.random() < 0.4 else f"s{rnd.randrange(5)}") for e in range(200)]
+    links += [(e, f"s{rnd.randrange(5)}") for e in range(0, 200, 7)] + links[:20]  # several subjects, repeated rows
+    about = [(s, f"b{rnd.randrange(8)}") for s in ["hot", "s0", "s1", "s2", "s3", "s4"] for _ in range(3)]
+    has_file = lambda e: e % 3 == 0
+    got = timeline.amendment_counts(
+        spark.createDataFrame([(e, s, has_file(e)) for e, s in links], "emendamento_id int, oggetto string, akn boolean"),
+        spark.createDataFrame(about, "oggetto string, id_fase string"),
+        "akn",
+    )
+    want = []
+    for b in {b for _, b in about}:
+        found = {e for e, s in links for t, c in about if s == t and c == b}
+        want.append((b, len(found), len({e for e in found if has_file(e)})))
+    assert rows(got) == sorted(want)
+
+
 # ---- shape and loads --------------------------------------------------------------------
 
 

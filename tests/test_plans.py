@@ -35,3 +35,39 @@ def test_row_picks_are_cut_before_the_shuffle(spark):
 
 def test_top_k_is_not_a_full_sort(spark):
     assert "TakeOrderedAndProject" in plan(spark, "o4_top_k")
+
+
+def test_lookup_is_broadcast_when_small_and_split_when_not(spark):
+    from pyspark.sql import functions as F
+
+    from billtrace.operators.joins import attach
+
+    hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000)
+    left = spark.range(0, 300_000, 1, 8).select(hot.alias("k"), "id", F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+    lookup = spark.range(1000).select(F.col("id").alias("k"), F.concat(F.lit("v"), F.col("id")).alias("v"))
+    lookup = lookup.groupBy("k").agg(F.max("v").alias("v"))
+    small = attach(left, lookup, ["k"])
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        large = attach(left, lookup, ["k"])
+        assert large.agg(F.count("*"), F.count("v")).first()[:2] == (300_000, 300_000)
+        large.write.format("noop").mode("overwrite").save()
+        frame = large.repartition(4)
+        frame.collect()
+        assert "skew=true" in frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
