@@ -93,7 +93,7 @@ def _with_bands(df: DataFrame, bands: int, rows: int) -> DataFrame:
 
     others = [f for f in df.schema if f.name != "s"]
     schema = T.StructType([*others, T.StructField("bands", T.ArrayType(T.LongType()))])
-    return df.filter("s is not null").select(*[f.name for f in others], "s").mapInPandas(batches, schema)
+    return df.select(*[f.name for f in others], "s").mapInPandas(batches, schema)
 
 
 def _saved(df: DataFrame) -> DataFrame:
@@ -124,6 +124,7 @@ def similar_pairs(
     in place, and only texts that share a bucket are read again to be compared. Runs jobs:
     one round for each leader of the fullest bucket.
     """
+    df = df.filter(F.col(text).isNotNull())
     hashed = df.select(F.col(key).alias("id"), fingerprint(text).alias("__f"), shingles(text, n).alias("s"))
     marks = _saved(_with_bands(hashed, bands, rows))
     copies = _copies(marks).withColumn("similarita", F.lit(1.0))
@@ -142,7 +143,7 @@ def similar_pairs(
         left = sets.select(F.col("id").alias("a"), F.col("s").alias("sa"))
         right = sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
         scored = links.join(right, "b").join(left, "a").select("a", "b", jaccard("sa", "sb").alias("similarita"))
-        good = _saved(scored.filter(F.col("similarita") >= threshold))
+        good = _saved(scored).filter(F.col("similarita") >= threshold)
         found = good if found is None else found.union(good)
         done = good.select("a", F.col("b").alias("id"))
         open_rows = member.join(done, ["a", "id"], "left_anti").select("id", "band", "bucket")
