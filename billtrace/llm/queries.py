@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, secret_scan, sharding, warc
+from . import decontamination, exact_dedup, language_id, secret_scan, sharding, toxicity, warc
 from .common import ready, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(key: str = "doc_id") -> Column:
+    """Fold of a row; rows of fold 1 are held out. A NULL key has fold 0."""
+    return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 3, F.lit(0))
+
+
 @_query
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every secret of every document: counts of the base kinds, their digest, and all spans."""
@@ -40,6 +45,20 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document that lie in an occurrence of a benchmark window."""
+    found = decontamination.with_hits(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "hits.n_words",
+        "hits.n_hit",
+        F.size("hits.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hits.items", ","), 256).alias("items_sha256"),
+        "hits.contaminated",
+    )
+
+
 @_query
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's group of equal texts and the row that stays."""
@@ -96,3 +115,27 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
        CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN first_id END AS refers_to
 FROM r
 """
+
+
+def toxicity_network(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> toxicity.Network:
+    """A network trained on the labelled rows outside fold 1."""
+    known = labels.filter(fold() != 1).select(F.col("doc_id").alias("__labelled"), "toxic")
+    return toxicity.train(documents.select("doc_id", "text").join(known, F.col("doc_id") == F.col("__labelled")))
+
+
+@_query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    score = toxicity.scorer(spark, toxicity_network(spark, documents, _table(spark, sf_dir, "labels")))
+    scored = documents.select("doc_id", (fold() == 1).alias("held_out"), score("text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
+@_query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    guess = language_id.identifier(spark, language_id.train(documents.filter(fold() != 1)))
+    found = documents.select("doc_id", (fold() == 1).alias("held_out"), guess("text").alias("g"))
+    return found.select("doc_id", "held_out", F.col("g.lang").alias("lang_pred"), "g.score")
