@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -43,4 +44,18 @@ def field(df: DataFrame, name: str, as_name: str | None = None) -> T.StructField
     return T.StructField(as_name or name, df.schema[name].dataType)
 
 
-__all__ = ["field", "map_rows", "ready", "scratch_path", "staged", "texts_as_bytes"]
+def sample_per_class(df: DataFrame, label: str, key: str, per_class: int) -> DataFrame:
+    """About ``per_class`` rows of each class (all, where it has fewer), chosen by a hash of the key.
+
+    Classes are counted first; then each row decides for itself, so nothing is shuffled and the
+    same rows are chosen every time. The number of classes must be small.
+    """
+    counts = df.groupBy(label).count().collect()
+    unit = F.shiftrightunsigned(F.xxhash64(F.lit("sample"), F.col(key)), 11).cast("double") / float(1 << 53)
+    chosen = F.lit(False)
+    for value, n in counts:
+        chosen = chosen | ((F.col(label) == F.lit(value)) & (unit < per_class / n))
+    return df.filter(chosen)
+
+
+__all__ = ["field", "map_rows", "ready", "sample_per_class", "scratch_path", "staged", "texts_as_bytes"]

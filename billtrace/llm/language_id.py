@@ -17,13 +17,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import texts_as_bytes
+from .common import sample_per_class, texts_as_bytes
 
-DOCS_PER_LANGUAGE = 800  # bound of the training sample: the first of each language in hash order
+DOCS_PER_LANGUAGE = 800  # bound of the training sample, for each language
 UNKNOWN = "und"
 STEPS = 12  # rounds of expectation-maximisation over all languages, at most
 SET_STEPS = 4  # rounds for each smaller set
@@ -168,16 +168,13 @@ def mixtures(texts: list[bytes], model: Model) -> list[dict]:
 
 
 def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col: str = "doc_id", per_language: int = DOCS_PER_LANGUAGE) -> Model:
-    """A model from at most ``per_language`` rows of each language, the first in hash order of the key.
+    """A model from about ``per_language`` rows of each language, chosen by a hash of the key.
 
     Rows without a language, a text or a key are left out. The sample comes to the driver; it is
     bounded by the parameter and the number of languages.
     """
     rows = df.select(F.col(lang_col).alias("l"), F.col(text_col).alias("t"), F.col(key_col).cast("string").alias("k"))
-    rows = rows.filter("l is not null and t is not null and k is not null")
-    place = Window.partitionBy("l").orderBy(F.xxhash64("k"), "k")
-    # Picked by key first, so that each task passes on few rows and no others' texts are sorted.
-    rows = rows.withColumn("n", F.row_number().over(place)).filter(F.col("n") <= per_language)
+    rows = sample_per_class(rows.filter("l is not null and t is not null and k is not null"), "l", "k", per_language)
     return Model.train([(r["l"], r["t"].encode()) for r in rows.select("l", "t").toLocalIterator()])
 
 

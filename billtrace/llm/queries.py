@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, language_id, secret_scan, sharding, toxicity, warc
-from .common import ready, scratch_path
+from . import decontamination, exact_dedup, language_id, packing, parity_join, secret_scan, sharding, toxicity, warc
+from .common import ready, sample_per_class, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -23,6 +23,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def public_tokenizer() -> tuple[str, str]:
+    """Path of the vocabulary, and the pattern that splits a text before its merges."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+
+
 def fold(key: str = "doc_id") -> Column:
     """Fold of a row; rows of fold 1 are held out. A NULL key has fold 0."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 3, F.lit(0))
@@ -45,6 +52,20 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, packed into sequences of 2048 tokens."""
+    parts = packing.pieces(_table(spark, sf_dir, "documents"), *public_tokenizer())
+    return packing.pack(parts).withColumnRenamed("id", "doc_id")
+
+
+@_query
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of three-word shingles are at least 0.9 similar."""
+    found = parity_join.similarity_components(_table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 @_query
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that lie in an occurrence of a benchmark window."""
@@ -118,9 +139,9 @@ FROM r
 
 
 def toxicity_network(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> toxicity.Network:
-    """A network trained on the labelled rows outside fold 1."""
-    known = labels.filter(fold() != 1).select(F.col("doc_id").alias("__labelled"), "toxic")
-    return toxicity.train(documents.select("doc_id", "text").join(known, F.col("doc_id") == F.col("__labelled")))
+    """A network trained on labelled rows outside fold 1: the labels are sampled first, then their texts joined."""
+    known = sample_per_class(labels.filter(fold() != 1).select(F.col("doc_id").alias("__labelled"), "toxic"), "toxic", "__labelled", toxicity.DOCS_PER_CLASS)
+    return toxicity.train(documents.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("__labelled")))
 
 
 @_query

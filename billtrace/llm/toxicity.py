@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import texts_as_bytes
+from .common import sample_per_class, texts_as_bytes
 
 WINDOW = 48
 STRIDE = 32
@@ -317,19 +317,15 @@ class Scorer:
 
 
 def train(df: DataFrame, text_col: str = "text", label_col: str = "toxic", key_col: str = "doc_id", per_class: int = DOCS_PER_CLASS) -> Network:
-    """A network from at most ``per_class`` labelled rows of each class, the first in hash order of the key.
+    """A network from about ``per_class`` labelled rows of each class, chosen by a hash of the key.
 
     Rows without a text, a label or a key are left out; without rows the network stays untrained.
     The sample comes to the driver, which its size allows: it doesn't grow with the table.
     """
     rows = df.select(F.col(text_col).alias("t"), F.col(label_col).cast("int").alias("y"), F.col(key_col).cast("string").alias("k"))
-    rows = rows.filter("t is not null and y in (0, 1) and k is not null")
-    texts, labels = [], []
-    for y in (0, 1):
-        for r in rows.filter(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(per_class).select("t").collect():
-            texts.append(r["t"].encode())
-            labels.append(y)
-    return fit(texts, labels)
+    rows = sample_per_class(rows.filter("t is not null and y in (0, 1) and k is not null"), "y", "k", per_class)
+    found = sorted((r["k"], r["y"], r["t"].encode()) for r in rows.collect())
+    return fit([t for _, _, t in found], [y for _, y, _ in found])
 
 
 def scorer(spark, net: Network):
