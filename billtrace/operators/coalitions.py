@@ -16,14 +16,13 @@ from .shape import union_all
 
 
 def italian_governments(spark: SparkSession) -> DataFrame:
-    rows = [(leg, n, s, e, pm, members.split("|")) for leg, n, s, e, pm, members in fixed.GOVERNMENTS]
     schema = "legislatura int, nome string, inizio string, fine string, pm_gruppo string, maggioranza array<string>"
     dates = {c: F.to_date(c) for c in ("inizio", "fine")}
-    return spark.createDataFrame(rows, schema).withColumns(dates)
+    return spark.createDataFrame(fixed.GOVERNMENTS, schema).withColumns(dates)
 
 
 def italian_groups(spark: SparkSession) -> DataFrame:
-    rows = [(leg, g) for leg, names in fixed.GROUPS.items() for g in names.split("|")]
+    rows = [(leg, g) for leg, names in fixed.GROUPS.items() for g in names]
     return spark.createDataFrame(rows, "legislatura int, sigla string")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import RDF_TYPE
+from ..functions.uris import is_blank_node
 from .shape import union_all
 
 
@@ -85,7 +86,7 @@ def chain(triples: DataFrame, predicates: Sequence[str], nodes: Sequence[str]) -
 def resolve_blank_nodes(triples: DataFrame) -> DataFrame:
     """(s, p, nodo, inner predicate, value) for every object that is a blank node."""
     outer = triples.filter(F.col("o_kind") == "bnode").select("s", "p", F.col("o").alias("nodo")).distinct()
-    inner = triples.select(F.col("s").alias("nodo"), F.col("p").alias("p_inner"), F.col("o").alias("valore")).distinct()
+    inner = triples.filter(is_blank_node("s")).select(F.col("s").alias("nodo"), F.col("p").alias("p_inner"), F.col("o").alias("valore")).distinct()
     return outer.join(inner, "nodo").select("s", "p", "nodo", "p_inner", "valore")
 
 
@@ -108,7 +109,9 @@ def _types(triples: DataFrame, type_predicate: str, node: str, name: str) -> Dat
 def reachable_types(triples: DataFrame, cls: str, type_predicate: str = RDF_TYPE) -> DataFrame:
     """Classes one hop away from the instances of a class, by predicate."""
     links = triples.filter(F.col("o_kind") != "literal").filter(F.col("p") != type_predicate)
-    own = links.join(instances(triples, cls, type_predicate), "s", "left_semi").select("s", "p", "o").distinct()
+    # No distinct on the right: a hot subject stays a plain join key, which can be split.
+    of_class = triples.filter((F.col("p") == type_predicate) & (F.col("o") == cls)).select("s")
+    own = links.join(of_class, "s", "left_semi").select("s", "p", "o").distinct()
     folded = own.groupBy("p", "o").agg(F.count("*").alias("__n"))
     return (
         folded.join(_types(triples, type_predicate, "o", "tipo"), "o")
@@ -133,16 +136,22 @@ def neighbours(triples: DataFrame) -> DataFrame:
 
 def predicate_presence(triples: DataFrame, candidates: DataFrame) -> DataFrame:
     """For each candidate predicate: does it occur, how often, and an example."""
-    found = triples.join(candidates, "p", "left_semi").groupBy("p").agg(F.count("*").alias("n"), F.min("o").alias("esempio"))
+    found = triples.groupBy("p").agg(F.count("*").alias("n"), F.min("o").alias("esempio"))  # counted before it is joined
     return candidates.join(found, "p", "left").select(
         "p", F.col("n").isNotNull().alias("esiste"), F.coalesce("n", F.lit(0)).alias("n"), "esempio"
     )
 
 
 def instances_by(triples: DataFrame, cls: str, group_predicate: str, type_predicate: str = RDF_TYPE) -> DataFrame:
-    """Instances of a class per value of a predicate, plus the grand total."""
-    rows = entity_table(triples, cls, {"gruppo": group_predicate}, {}, type_predicate=type_predicate)
-    return rows.rollup("gruppo").agg(F.count("*").alias("n"))
+    """Instances of a class per value of a predicate, and with a NULL group the total without it.
+
+    An instance counts in each of its groups, and one without a group in the total alone, so the
+    total is a check on the sum.
+    """
+    of_class = triples.filter((F.col("p") == type_predicate) & (F.col("o") == cls)).select("s")
+    grouped = triples.filter(F.col("p") == group_predicate).join(of_class, "s", "left_semi").select("s", F.col("o").alias("gruppo")).distinct()
+    total = instances(triples, cls, type_predicate).agg(F.lit(None).cast("string").alias("gruppo"), F.count("*").alias("n"))
+    return union_all(grouped.groupBy("gruppo").agg(F.count("*").alias("n")), total)
 
 
 def datatypes(triples: DataFrame) -> DataFrame:

@@ -104,8 +104,8 @@ def unique_history(df: DataFrame, key: str, state: str, date: str) -> DataFrame:
 
 def multi_phase(df: DataFrame, bill: str, progress: str) -> DataFrame:
     """All phases of the bills that reach a phase above 1."""
-    bills = df.groupBy(bill).agg(F.max(progress).alias("__max")).filter("__max > 1").select(bill)
-    return df.join(bills, bill, "left_semi")
+    later = df.filter(F.col(progress) > 1).select(bill)
+    return df.join(later, bill, "left_semi")
 
 
 def first_in_document(df: DataFrame, items: str, flag: str, element: str) -> DataFrame:

@@ -23,8 +23,7 @@ def amendment_dates(amendments: DataFrame, votes: DataFrame, sessions: DataFrame
     """
     subject_date = votes.join(sessions, "seduta").groupBy("oggetto").agg(F.min("data").alias("data"))
     return (
-        amendments.select("emendamento_id", "oggetto")
-        .join(subject_date, "oggetto")
+        attach(amendments.select("emendamento_id", "oggetto"), subject_date, ["oggetto"], "inner")
         .groupBy("emendamento_id")
         .agg(F.min("data").alias("data"))
     )

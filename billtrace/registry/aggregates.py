@@ -185,12 +185,12 @@ def a16(t: Tables):
 @query(
     "a16_signer_count_stats",
     """SELECT count(*) AS n, max(n) AS massimo, round_even(avg(n), 1) AS media, list_sort(list(n))[len(list(n)) // 2 + 1] AS mediana
-       FROM (SELECT count(*) AS n FROM signatures GROUP BY id_atto ORDER BY n DESC LIMIT 200)""",
+       FROM (SELECT count(*) AS n FROM signatures GROUP BY id_atto)""",
     "signatures",
 )
 def a16_stats(t: Tables):
     per_act = t.role("signatures").groupBy("id_atto").agg(F.count("*").alias("n_firme"))
-    return cov.count_stats(per_act.orderBy(F.col("n_firme").desc(), "id_atto").limit(200), "n_firme")
+    return cov.count_stats(per_act, "n_firme")
 
 
 @query(

@@ -95,9 +95,9 @@ def x4(t: Tables):
     return flatten.flatten_persons(_persons(t))
 
 
-@query("d9_registry", f"SELECT senatore_id, gruppo_nome, gruppo_inizio FROM ({FLAT}) WHERE gruppo_nome IS NOT NULL", "people joined group_titles")
+@query("d9_registry", FLAT, "people joined group_titles")
 def d9(t: Tables):
-    return flatten.flatten_persons(_persons(t)).filter("gruppo_nome is not null").select("senatore_id", "gruppo_nome", "gruppo_inizio")
+    return flatten.flatten_persons(_persons(t))
 
 
 ARTICLES = """SELECT concat('Atto', doc_id) AS atto_id, 'art1' AS articolo_id, 'Art. 1.' AS numero_articolo, concat('Il titolo vero ', doc_id) AS titolo,
@@ -145,10 +145,13 @@ def x8(t: Tables):
     return flatten.bill_signers(bills.withColumn("versione", later))
 
 
-@query("x9_anchored_block", "SELECT page_id, concat('t ', url, ' & altro') AS testo FROM pages")
+@query(
+    "x9_anchored_block",
+    """SELECT page_id, trim(regexp_replace(regexp_replace(concat('t ', url, ' & altro ', html), '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')) AS testo FROM pages""",
+)
 def x9(t: Tables):
     html = F.concat(
-        F.lit('<a name="x.1">t</a> <b>'), F.col("url"), F.lit('</b> & altro <a class="k" id="x.2">u</a>'), F.col("html")
+        F.lit('<a name="x.1">t</a> <b>'), F.col("url"), F.lit("</b> & altro "), F.col("html"), F.lit('<a class="k" id="x.2">u</a>')
     )
     return t("pages").select("page_id", bodies.strip_tags(bodies.anchored_block(html, "x.1")).alias("testo"))
 

@@ -88,12 +88,13 @@ def g9(t: Tables):
 
 @query(
     "g10_instances_by_group",
-    """SELECT g.o AS gruppo, count(*) AS n FROM (SELECT DISTINCT s FROM triples WHERE p = 'type' AND o = 'Cliente') x
-       JOIN (SELECT s, min(o) AS o FROM triples WHERE p = 'nazione' GROUP BY s) g USING (s) GROUP BY ROLLUP (g.o)""",
+    """WITH x AS (SELECT DISTINCT s FROM triples WHERE p = 'type' AND o = 'Cliente')
+       SELECT g.o AS gruppo, count(*) AS n FROM x JOIN (SELECT DISTINCT s, o FROM triples WHERE p = 'segmento') g USING (s) GROUP BY g.o
+       UNION ALL SELECT NULL, count(*) FROM x""",
     "triples",
 )
 def g10(t: Tables):
-    return graph.instances_by(t.role("triples"), "Cliente", "nazione", TYPE)
+    return graph.instances_by(t.role("triples"), "Cliente", "segmento", TYPE)
 
 
 @query(

@@ -312,13 +312,13 @@ def j21(t: Tables):
 @query(
     "t13_coalition_side",
     f"""SELECT a.sign_id, a.gruppo, CASE WHEN a.gruppo IS NULL OR a.data_firma IS NULL THEN NULL
-              WHEN EXISTS (SELECT 1 FROM memberships w WHERE w.person_id < 5 AND w.gruppo = a.gruppo AND w.inizio <= a.data_firma
+              WHEN EXISTS (SELECT 1 FROM memberships w WHERE w.gruppo IN ('G1', 'G3', 'G7') AND w.gruppo = a.gruppo AND w.inizio <= a.data_firma
                            AND (w.fine IS NULL OR w.fine >= a.data_firma)) THEN 'maggioranza' ELSE 'opposizione' END AS schieramento
        FROM ({ASOF}) a""",
     "dated memberships",
 )
 def t13(t: Tables):
-    majorities = t.role("memberships").filter("person_id < 5").select("gruppo", "inizio", "fine")
+    majorities = t.role("memberships").filter("gruppo in ('G1', 'G3', 'G7')").select("gruppo", "inizio", "fine")
     return coalition_side(_asof(t), majorities, "gruppo", "data_firma").select("sign_id", "gruppo", "schieramento")
 
 
@@ -347,9 +347,9 @@ def a21(t: Tables):
     return _coalitions(t)
 
 
-@query("d8_coalitions", COALITIONS + " WHERE g.legislatura >= 1997", "groups_by_leg majority cabinets")
+@query("d8_coalitions", COALITIONS, "groups_by_leg majority cabinets")
 def d8(t: Tables):
-    return _coalitions(t).filter("legislatura >= 1997")
+    return _coalitions(t)
 
 
 @query(

@@ -101,11 +101,11 @@ def w8(t: Tables):
 @query(
     "w9_multi_phase_bills",
     """SELECT id_fase, id_ddl_interno, progressivo_iter FROM phases WHERE id_ddl_interno IN (
-         SELECT id_ddl_interno FROM phases WHERE legislatura < 1997 GROUP BY 1 HAVING max(progressivo_iter) > 1) AND legislatura < 1997""",
+         SELECT id_ddl_interno FROM phases GROUP BY 1 HAVING max(progressivo_iter) > 1)""",
     "phases",
 )
 def w9(t: Tables):
-    p = t.role("phases").filter("legislatura < 1997").select("id_fase", "id_ddl_interno", "progressivo_iter")
+    p = t.role("phases").select("id_fase", "id_ddl_interno", "progressivo_iter")
     return picks.multi_phase(p, "id_ddl_interno", "progressivo_iter")
 
 

@@ -174,12 +174,12 @@ def o4(t: Tables):
 
 @query(
     "o5_nulls_last",
-    "SELECT person_id, member_id, fine FROM memberships ORDER BY fine DESC NULLS LAST, member_id LIMIT 200",
+    "SELECT person_id, member_id, fine FROM memberships ORDER BY fine DESC NULLS LAST, member_id",
     "memberships",
 )
 def o5(t: Tables):
     df = t.role("memberships").select("person_id", "member_id", "fine")
-    return df.orderBy(F.col("fine").desc_nulls_last(), "member_id").limit(200)
+    return df.orderBy(F.col("fine").desc_nulls_last(), "member_id")
 
 
 # ---- set operations ---------------------------------------------------------

@@ -74,7 +74,7 @@ def s4(t: Tables):
     )
 
 
-@query("s5_ntriples_scan", "SELECT s, p, o, o_kind, o_datatype FROM triples", "triples")
+@query("s5_ntriples_scan", "SELECT s, p, o, o_kind, o_datatype, CAST(NULL AS STRING) AS error FROM triples", "triples")
 def s5(t: Tables):
     def iri(c):
         return F.when(F.startswith(F.col(c), F.lit("_:")), F.col(c)).otherwise(F.concat(F.lit("<"), F.col(c), F.lit(">")))

@@ -98,14 +98,14 @@ RUNS = """list_distinct(list_transform(range(1, greatest(len({w}) - 2, 1) + 1),
     f"""SELECT conv_id, turn, round(CAST(len(list_intersect(x, y)) AS DOUBLE) / (len(x) + len(y) - len(list_intersect(x, y))), 6) AS similarita
        FROM (SELECT conv_id, turn, {RUNS.format(w='wa')} AS x, {RUNS.format(w='wb')} AS y FROM (
          SELECT a.conv_id, a.turn, string_split(trim(regexp_replace(lower(a.text), '\\s+', ' ', 'g')), ' ') AS wa,
-                string_split(trim(regexp_replace(lower(concat(substr(a.text, 1, 200), ' ', b.text)), '\\s+', ' ', 'g')), ' ') AS wb
+                string_split(trim(regexp_replace(lower(concat(a.text, ' ', b.text)), '\\s+', ' ', 'g')), ' ') AS wb
          FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1))""",
 )
 def t10(t: Tables):
     c = t("conversations").select("conv_id", "turn", "text")
     later = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("dopo"))
     pairs = c.join(later, ["conv_id", "turn"]).withColumn(
-        "dopo", F.concat(F.substring("text", 1, 200), F.lit(" "), F.col("dopo"))
+        "dopo", F.concat(F.col("text"), F.lit(" "), F.col("dopo"))
     )
     out = similarity.text_distance(pairs, "text", "dopo")
     return out.select("conv_id", "turn", F.round("similarita", 6).alias("similarita"))

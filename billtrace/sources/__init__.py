@@ -9,6 +9,5 @@ from .readers import (  # noqa: F401
     read_ntriples,
     read_table,
     sidecar,
-    spread,
 )
 from .writers import create_tables, rebuild_tables, write_table  # noqa: F401

@@ -9,18 +9,23 @@ from pyspark.sql import types as T
 # One N-Triples line: subject, predicate, then an IRI, a blank node or a literal.
 _TERM = r"(<[^>]*>|_:\S+)"
 _LITERAL = r'"((?:[^"\\]|\\.)*)"(?:\^\^<([^>]*)>|@([A-Za-z0-9-]+))?'
-_LINE = rf"^\s*{_TERM}\s+<([^>]*)>\s+(?:{_TERM}|{_LITERAL})\s*\.\s*$"
+_LINE = rf"^\s*{_TERM}\s+<([^>]*)>\s+(?:{_TERM}|{_LITERAL})\s*\.\s*(?:#.*)?$"
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet") -> DataFrame:
-    """Parquet, CSV (with header) or line JSON. CSV and JSON need a schema: nothing is inferred."""
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet", multi_line: bool = False
+) -> DataFrame:
+    """Parquet, CSV (with header) or line JSON. CSV and JSON need a schema: nothing is inferred.
+
+    ``multi_line`` is for CSV with line ends inside quotes; such a file can't be split.
+    """
     if fmt == "parquet":
         reader = spark.read if schema is None else spark.read.schema(schema)
         return reader.parquet(path)
     if schema is None:
         raise ValueError(f"reading {fmt} needs a schema")
     if fmt == "csv":
-        options = {"header": True, "escape": '"', "multiLine": True}
+        options = {"header": True, "escape": '"', "multiLine": multi_line}
         return spark.read.schema(schema).options(**options).csv(path)
     if fmt == "json":
         return spark.read.schema(schema).json(path)
@@ -71,7 +76,7 @@ def add_path_parts(df: DataFrame, path: str = "path") -> DataFrame:
     act = F.when(F.startswith(F.get(parts, F.lit(1)), F.lit("Atto")), F.get(parts, F.lit(1)))
     kind = F.when(act.isNotNull(), F.nullif(F.get(parts, F.lit(2)), F.lit("")))
     found = F.struct(
-        F.substring(F.get(parts, F.lit(0)), 4, 9).try_cast("int").alias("legislatura"),
+        F.substr(F.get(parts, F.lit(0)), F.lit(4)).try_cast("int").alias("legislatura"),
         act.alias("atto_id"),
         kind.alias("kind"),
         F.nullif(F.substring_index(F.col(path), "/", -1), F.lit("")).alias("file_name"),
@@ -79,22 +84,30 @@ def add_path_parts(df: DataFrame, path: str = "path") -> DataFrame:
     return df.withColumn("__parts", F.split(from_leg, "/")).select(*df.columns, F.inline(F.array(found)))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan over all cores when its files make fewer tasks than that.
+def read_ntriples(spark: SparkSession, path: str) -> DataFrame:
+    """N-Triples lines as (s, p, o, o_kind, o_datatype, error); blank lines and comments are left out."""
+    return parse_ntriples(spark.read.text(path))
 
-    Meant for work that is heavy per row, such as whole texts. A large table has more
-    tasks than cores, so it is left alone and nothing is shuffled.
-    """
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 
+def _unescape(literal: Column) -> Column:
+    """Escapes of a literal undone in one pass: split at each, then every part on its own."""
+    parts = F.regexp_extract_all(literal, F.lit(r"(\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\.|[^\\]+)"), F.lit(1))
 
-def read_ntriples(spark: SparkSession, path: str) -> DataFrame:
-    """N-Triples lines as (s, p, o, o_kind, o_datatype); blank lines and comments are left out."""
-    return parse_ntriples(spark.read.text(path))
+    def plain(part: Column) -> Column:
+        code = F.conv(F.substr(part, F.lit(3)), 16, 10).cast("long")
+        # chr() knows bytes only; UTF-32 knows every code point.
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        out = F.when(F.rlike(part, F.lit(r"^\\[uU]")), char)
+        for mark, value in (("n", "\n"), ("t", "\t"), ("r", "\r"), ("b", "\b"), ("f", "\f")):
+            out = out.when(part == f"\\{mark}", F.lit(value))
+        return out.when(F.startswith(part, F.lit("\\")), F.substr(part, F.lit(2))).otherwise(part)
+
+    return F.when(F.contains(literal, F.lit("\\")), F.array_join(F.transform(parts, plain), "")).otherwise(literal)
 
 
 def parse_ntriples(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Triples of N-Triples lines. A line that is none comes back with itself in ``error`` and NULL elsewhere."""
+
     def group(i: int) -> Column:
         return F.regexp_extract(F.col(value), _LINE, i)
 
@@ -103,17 +116,17 @@ def parse_ntriples(lines: DataFrame, value: str = "value") -> DataFrame:
 
     term = group(3)
     is_term = term != ""
-    literal = group(4)
-    for escaped, plain in (("\\n", "\n"), ("\\t", "\t"), ('\\"', '"'), ("\\\\", "\\")):
-        literal = F.replace(literal, F.lit(escaped), F.lit(plain))
     kind = F.when(F.startswith(term, F.lit("_:")), "bnode").when(is_term, "iri").otherwise("literal")
-    return lines.filter(F.rlike(F.col(value), F.lit(_LINE))).select(
+    found = F.struct(
         bare(group(1)).alias("s"),
         group(2).alias("p"),
-        F.when(is_term, bare(term)).otherwise(literal).alias("o"),
+        F.when(is_term, bare(term)).otherwise(_unescape(group(4))).alias("o"),
         kind.alias("o_kind"),
         F.when(~is_term, F.nullif(group(5), F.lit(""))).alias("o_datatype"),
     )
+    fits = F.rlike(F.col(value), F.lit(_LINE))
+    rows = lines.filter(~F.rlike(F.col(value), F.lit(r"^\s*(#.*)?$")))
+    return rows.select(F.when(fits, found).alias("t"), F.when(~fits, F.col(value)).alias("error")).select("t.*", "error")
 
 
 def sidecar(files: DataFrame, source: str | Column, path: str = "path", content: str = "content") -> DataFrame:

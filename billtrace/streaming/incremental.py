@@ -14,13 +14,13 @@ from ..operators.shape import missing_partitions, union_all
 
 def insert_absent(existing: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
     """New rows whose key is absent, one for each key; append these."""
-    fresh = new.join(existing.select(*keys).distinct(), list(keys), "left_anti")
+    fresh = new.join(existing.select(*keys), list(keys), "left_anti")
     return first_per_key(fresh, keys, order)
 
 
 def insert_children(existing: DataFrame, new: DataFrame, parent: str) -> DataFrame:
     """All new rows of the parents that have no rows yet; append these."""
-    return new.join(existing.select(parent).distinct(), parent, "left_anti")
+    return new.join(existing.select(parent), parent, "left_anti")
 
 
 def partitions_to_build(requested: DataFrame, existing: DataFrame, by: Sequence[str], force: bool = False) -> DataFrame:
@@ -45,10 +45,11 @@ def check_integrity(df: DataFrame, critical: Sequence[str], by: Sequence[str], e
     return out.filter(broken)
 
 
-def run_metrics(df: DataFrame, by: str, flags: dict[str, Column]) -> DataFrame:
-    """Rows and flagged rows of each partition, ``ok`` or ``empty``."""
+def run_metrics(df: DataFrame, by: str, flags: dict[str, Column], requested: DataFrame) -> DataFrame:
+    """Rows and flagged rows of each requested partition, ``ok`` or ``empty``."""
     aggs = [count_if(cond).alias(f"n_{name}") for name, cond in flags.items()]
-    out = df.groupBy(by).agg(F.count("*").alias("n"), *aggs)
+    counted = df.groupBy(by).agg(F.count("*").alias("n"), *aggs)
+    out = requested.select(by).distinct().join(counted, by, "left").fillna(0, ["n", *[f"n_{name}" for name in flags]])
     return out.withColumn("status", F.when(F.col("n") > 0, "ok").otherwise("empty"))
 
 
