@@ -6,11 +6,12 @@ most as many bits as their sets differ in elements. A pair at the threshold diff
 both sides, so sets are sketched per band of sizes: in their own band, and in each lower band that
 may hold a smaller partner. A block is sent as a 64-bit code of its bits, never as the bits.
 
-What meets in a block is a candidate only. Each round picks a few pivots in every block whose
-members don't all belong to one component yet, and checks them by exact intersection against the
-members of other components; then the pivots leave the block. Nothing is ever left unchecked: a
-block ends when its members are in one component or none is left. So a group of n near copies
-costs about n checks and not n squared.
+What meets in a block is a candidate only, and every candidate is settled, in two ways. First come
+rounds of stars: each block whose members are not yet in one component checks one of them against
+those of other components, by exact intersection. That joins n near copies with about n checks.
+When a round joins little, what is left (texts that share blocks but are not similar, say) is
+compared in full, but by sketches: tasks take tiles of a block and keep the pairs of different
+components whose sketches differ in no more bits than allowed; only these are intersected.
 
 Texts with the same set are one node. A set is spread over K blocks, so no block holds more rows
 than there are nodes, a small part of all block rows.
@@ -18,22 +19,27 @@ than there are nodes, a small part of all block rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.similarity import clusters
-from .common import map_rows, staged, texts_as_bytes
+from .common import map_rows, scratch_path, staged, texts_as_bytes
 
 BLOCK_BITS = 16  # a block has 2 ** 16 bits
 BAND_GROWTH = 1.5
 MAX_KNOWN_WORDS = 300_000
 MAX_SEEN = 500_000
+SKETCH_BITS = 256  # at least
+PAIRS_PER_PART = 500
+TILE = 1024
+STAR_SHARE = 0.1  # rounds of stars go on while they join this share of what is open
 _U = np.uint64
 
 
@@ -197,56 +203,143 @@ def _shared(rows: DataFrame) -> DataFrame:
     return map_rows(rows.repartition("key").sortWithinPartitions("key", "node"), _MEMBER, step)
 
 
-def _set_rows(df: DataFrame, wanted: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
-    """(node, s): the sets of the rows whose id is wanted. Texts are shuffled once."""
+def _sketch(own: np.ndarray) -> bytes:
+    """Bit sketch of a set for comparison, about half a bit for each element. Half a sketch is the fold of the whole."""
+    bits = SKETCH_BITS
+    while bits < len(own) // 2:
+        bits *= 2
+    at = ((own >> _U(8)) & _U(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
-    @F.arrow_udf(T.StructType([T.StructField("node", T.LongType()), T.StructField("s", T.ArrayType(T.LongType()))]))
-    def describe(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        shingler = Shingler(n)
-        for text in batches:
-            sets = shingler.sets(texts_as_bytes(text))
-            offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-            values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-            yield pa.StructArray.from_arrays([pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], ["node", "s"])
 
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = rows.join(wanted.select(F.col("id").alias("__w")), F.col("id").eqNullSafe(F.col("__w")), "left_semi")
-    return rows.select(describe("text").alias("d")).select("d.node", "d.s")
+class _Sets:
+    """(node, n, sketch, s) of the nodes that share a block, bucketed by node so that joins never shuffle them."""
+
+    def __init__(self, df: DataFrame, wanted: DataFrame, id_col: str, text_col: str, n: int):
+        self.spark = df.sparkSession
+        self.name = f"sets_{uuid.uuid4().hex}"
+        kinds = {"node": T.LongType(), "n": T.IntegerType(), "sketch": T.BinaryType(), "s": T.ArrayType(T.LongType())}
+
+        @F.arrow_udf(T.StructType([T.StructField(k, v) for k, v in kinds.items()]))
+        def describe(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            shingler = Shingler(n)
+            for text in batches:
+                sets = shingler.sets(texts_as_bytes(text))
+                offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+                values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+                nodes = pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())
+                yield pa.StructArray.from_arrays(
+                    [nodes, pa.array([len(s) for s in sets], pa.int32()), pa.array([_sketch(s) for s in sets], pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], [*kinds]
+                )
+
+        texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+        texts = texts.join(wanted.select(F.col("id").alias("__w"), F.col("node").alias("__node")), F.col("id").eqNullSafe(F.col("__w")))
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = texts.select("text", F.col("__node").alias("node")).repartition(buckets, "node")
+        rows = rows.select("node", describe("text").alias("d")).filter("node = d.node").select("d.*")
+        writer = rows.write.bucketBy(buckets, "node").sortBy("node").option("path", scratch_path(self.spark, "sets"))
+        writer.saveAsTable(self.name)
+
+    def of(self, node: str, *columns: str) -> DataFrame:
+        return self.spark.table(self.name).select(F.col("node").alias(node), *columns)
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE {self.name}")
+
+
+def _linked(pairs: DataFrame, sets: _Sets, num: int, den: int) -> DataFrame:
+    """The pairs (p, z) whose exact similarity reaches the threshold, written.
+
+    The set of a ``p`` with many pairs is sent once for every ``PAIRS_PER_PART`` of them.
+    """
+    pairs = staged(pairs, "pairs")
+    parts = staged(pairs.groupBy("p").agg(F.ceil(F.count("*") / PAIRS_PER_PART).cast("int").alias("parts")), "parts")
+    salted = pairs.join(parts, "p").withColumn("part", F.pmod(F.xxhash64("z"), F.col("parts")).cast("int")).drop("parts")
+    of_z = salted.join(sets.of("z", F.col("s").alias("sz")), "z")
+    of_p = parts.join(sets.of("p", F.col("s").alias("sp")), "p").select("p", "sp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    scored = of_z.join(of_p, ["p", "part"]).select("p", "z", F.size("sp").alias("a"), F.size("sz").alias("b"), F.size(F.array_intersect("sp", "sz")).cast("long").alias("i"))
+    good = scored.filter(F.col("i") * den >= (F.col("a") + F.col("b") - F.col("i")) * num)
+    return staged(good.select("p", "z").distinct(), "links")
+
+
+def _folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of 64-bit words, folded to the shortest."""
+    least = min(map(len, sketches))
+    out = np.zeros((len(sketches), least // 8), np.uint64)
+    for i, sketch in enumerate(sketches):
+        out[i] = np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, least // 8), axis=0)
+    return out
+
+
+def _close_pairs(blocks: DataFrame, sets: _Sets, num: int, den: int) -> DataFrame:
+    """(p, z): pairs of different components within a block whose sketches leave the threshold open.
+
+    Blocks of more than ``TILE`` rows are cut into parts, and each two parts meet in a task.
+    """
+    sizes = staged(blocks.groupBy("key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("parts")), "tiles")
+    rows = blocks.join(sizes, "key").join(sets.of("node", "n", "sketch"), "node")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = rows.select("key", F.least("own", "other").alias("t1"), F.greatest("own", "other").alias("t2"), "node", "component", "n", "sketch")
+
+    def step(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+        def solve(group: list[dict]) -> Iterator[dict]:
+            node, component, n = (np.array([r[c] for r in group], np.int64) for c in ("node", "component", "n"))
+            if (component == component[0]).all():
+                return
+            words = _folded([r["sketch"] for r in group])
+            for i in range(0, len(group), 128):
+                differ = np.zeros((len(words[i : i + 128]), len(words)), np.int64)
+                for w in range(words.shape[1]):
+                    differ += np.bitwise_count(words[i : i + 128, w, None] ^ words[None, :, w])
+                open_ = (differ * (den + num) <= (n[i : i + 128, None] + n) * (den - num)) & (component[i : i + 128, None] != component)
+                p, z = np.nonzero(open_)
+                p, z = node[i + p], node[z]
+                yield {"p": p[p < z], "z": z[p < z]}
+
+        group: list[dict] = []
+        for batch in batches:
+            for r in batch.to_pylist():
+                if group and (r["key"], r["t1"], r["t2"]) != (group[0]["key"], group[0]["t1"], group[0]["t2"]):
+                    yield from solve(group)
+                    group = []
+                group.append(r)
+        if group:
+            yield from solve(group)
+
+    schema = T.StructType([T.StructField("p", T.LongType()), T.StructField("z", T.LongType())])
+    return map_rows(rows.repartition("key", "t1", "t2").sortWithinPartitions("key", "t1", "t2"), schema, step).distinct()
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (p, z) whose exact similarity reaches the threshold."""
-    both = pairs.join(sets.select(F.col("node").alias("z"), F.col("s").alias("sz")), "z").join(sets.select(F.col("node").alias("p"), F.col("s").alias("sp")), "p")
-    scored = both.select("p", "z", F.size("sp").alias("a"), F.size("sz").alias("b"), F.size(F.array_intersect("sp", "sz")).cast("long").alias("i"))
-    return scored.filter(F.col("i") * den >= (F.col("a") + F.col("b") - F.col("i")) * num).select("p", "z")
+def _open_blocks(placed: DataFrame) -> DataFrame:
+    """Rows (key, node, component, largest) of the blocks that hold several components, and their largest one."""
+    counts = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
+    largest = counts.groupBy("key").agg(F.max(F.struct("n", "component"))["component"].alias("largest"), F.count("*").alias("parts"))
+    return placed.join(largest.filter("parts > 1").drop("parts"), "key")
 
 
-def _resolve(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame | None:
+def _resolve(members: DataFrame, sets: _Sets, num: int, den: int) -> DataFrame:
     """(node, component) of the nodes that have a link."""
-    placed, component, pivots_per_key = members.withColumn("component", F.col("node")), None, 1
+    blocks, component = members.withColumn("component", F.col("node")), None
     while True:
-        counts = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
-        largest = counts.groupBy("key").agg(F.max(F.struct("n", "component"))["component"].alias("largest"), F.count("*").alias("parts"))
-        placed = placed.join(largest.filter("parts > 1").drop("parts"), "key")
-        if component is not None:
-            placed = staged(placed, "blocks")
-            if placed.isEmpty():
-                return component
-        outside = placed.filter(F.col("component") != F.col("largest"))
-        if pivots_per_key == 1:
-            pivots = outside.groupBy("key").agg(F.min(F.struct("node", "component")).alias("m")).select("key", F.col("m.node").alias("p"), F.col("m.component").alias("pc"))
-        else:
-            place = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-            pivots = outside.withColumn("__n", place).filter(F.col("__n") <= pivots_per_key).select("key", F.col("node").alias("p"), F.col("component").alias("pc"))
-        pivots = staged(pivots, "pivots")
-        met = placed.join(pivots, "key").filter(F.col("component") != F.col("pc"))
-        pairs = met.select(F.least("p", "node").alias("p"), F.greatest("p", "node").alias("z")).distinct()
-        links = staged(_linked(pairs, sets, num, den), "links")
-        rest = placed.select("key", "node", "component").join(pivots.select("key", F.col("p").alias("node")), ["key", "node"], "left_anti")
+        blocks = staged(_open_blocks(blocks), "blocks")
+        n = blocks.select("node").distinct().count()
+        if n == 0 and component is not None:
+            return component
+        outside = blocks.filter(F.col("component") != F.col("largest"))
+        stars = staged(outside.groupBy("key").agg(F.min(F.struct("node", "component")).alias("m")).select("key", F.col("m.node").alias("p"), F.col("m.component").alias("pc")), "stars")
+        met = blocks.join(stars, "key").filter(F.col("component") != F.col("pc"))
+        links = _linked(met.select(F.least("p", "node").alias("p"), F.greatest("p", "node").alias("z")).distinct(), sets, num, den)
+        joined = links.count()
         component = _joined(component, links)
-        old = rest.drop("component").join(component, "node", "left")
-        placed = old.select("key", "node", F.coalesce("component", "node").alias("component"))
-        pivots_per_key *= 4
+        rest = blocks.join(stars.select("key", F.col("p").alias("node")), ["key", "node"], "left_anti").drop("largest", "component")
+        blocks = rest.join(component, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+        if joined < STAR_SHARE * n:
+            break
+    blocks = staged(_open_blocks(blocks).drop("largest"), "blocks")
+    if blocks.isEmpty():
+        return component
+    return _joined(component, _linked(_close_pairs(blocks, sets, num, den), sets, num, den))
 
 
 def _joined(component: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -272,8 +365,9 @@ def similarity_components(df: DataFrame, id_col: str = "doc_id", text_col: str =
     nodes = staged(nodes, "nodes")
     members = staged(_shared(_block_rows(df, text_col, n, num, den)), "members")
     wanted = nodes.join(members.select("node").distinct(), "node", "left_semi")
-    sets = staged(_set_rows(df, wanted, id_col, text_col, n), "sets")
+    sets = _Sets(df, wanted, id_col, text_col, n)
     component = _resolve(members, sets, num, den)
+    sets.drop()
     known = nodes.join(component, "node", "left").select("node", "id", F.coalesce("component", "node").alias("component"))
     smallest = known.groupBy("component").agg(F.min("id").alias("component_id"))
     ids = staged(known.join(smallest, "component").select("node", "component_id"), "component_ids")
