@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.texts import collapse_space, fingerprint
-from ..session import shared_dir, staged
+from ..session import staged
 from .joins import attach
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # odd 64-bit multiplier (golden ratio)
@@ -97,8 +97,7 @@ def _with_bands(df: DataFrame, bands: int, rows: int) -> DataFrame:
 
 
 def _saved(df: DataFrame) -> DataFrame:
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    return staged(df, "rows")
 
 
 def _copies(marked: DataFrame) -> DataFrame:
