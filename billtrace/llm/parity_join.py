@@ -344,6 +344,8 @@ def _resolve(members: DataFrame, sets: _Sets, num: int, den: int) -> DataFrame:
 
 def _joined(component: DataFrame | None, links: DataFrame) -> DataFrame:
     """Components after more links; those known so far are links to their smallest node."""
+    if component is not None and links.isEmpty():
+        return component
     edges = links.select(F.col("p").alias("a"), F.col("z").alias("b"))
     if component is not None:
         edges = edges.union(component.filter("node <> component").select("node", "component"))
