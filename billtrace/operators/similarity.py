@@ -1,28 +1,22 @@
 """Text distance, similar amendments and their clusters.
 
-Never all pairs: exact copies fold to one text first, and the members of a hash bucket are
-linked to the bucket's smallest id only. Whoever is not similar to that leader stays for
-the next round under a new leader, until no bucket has two texts left, so a bucket
-with a third of all texts costs one link per text.
+Similarity is complete at its threshold. Exact copies fold to one text; the sets of the others
+are ordered by hash, and two sets that are similar enough share an element among the first few of
+each (prefix filter). Texts that meet in such a block are settled by exact similarity in rounds:
+a few pivots of each block that still spans several clusters are checked against the members of
+other clusters and then leave it. The number of pivots grows fourfold, so that rounds grow with the
+logarithm of the largest block, and a block whose members are linked costs one check for each.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.texts import collapse_space, fingerprint
 from ..session import staged
 from .joins import attach
 
-_MIX = np.uint64(0x9E3779B97F4A7C15)  # odd 64-bit multiplier (golden ratio)
-
-
 def _bind(value: Column, body) -> Column:
     """``body(value)`` with ``value`` worked out once, not once for each use."""
     return F.transform(F.array(value), body)[0]
@@ -69,33 +63,6 @@ def title_distance(a: Column | str, b: Column | str) -> Column:
     return F.levenshtein(a, b)
 
 
-def _with_bands(df: DataFrame, bands: int, rows: int) -> DataFrame:
-    """Replace the shingles ``s`` by one bucket number for each band of their MinHash signature."""
-    seeds = np.arange(1, bands * rows + 1, dtype=np.uint64) * _MIX | np.uint64(1)
-
-    def bucket_numbers(shingle_hashes) -> np.ndarray:
-        h = np.asarray(shingle_hashes, dtype=np.int64).view(np.uint64)
-        low = np.full(seeds.size, np.iinfo(np.uint64).max, dtype=np.uint64)
-        for start in range(0, h.size, 256):  # a block that stays in the cache
-            x = np.multiply.outer(h[start : start + 256], seeds)
-            x ^= x >> np.uint64(32)
-            x *= _MIX
-            np.minimum(low, x.min(axis=0), out=low)
-        out = np.arange(bands, dtype=np.uint64)
-        for column in low.reshape(bands, rows).T:
-            out = (out ^ column) * _MIX
-            out ^= out >> np.uint64(32)
-        return out.view(np.int64)
-
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield frame.drop(columns="s").assign(bands=frame["s"].map(bucket_numbers))
-
-    others = [f for f in df.schema if f.name != "s"]
-    schema = T.StructType([*others, T.StructField("bands", T.ArrayType(T.LongType()))])
-    return df.select(*[f.name for f in others], "s").mapInPandas(batches, schema)
-
-
 def _saved(df: DataFrame) -> DataFrame:
     return staged(df, "rows")
 
@@ -110,45 +77,74 @@ def exact_copies(df: DataFrame, key: str, text: str) -> DataFrame:
     return _copies(_saved(df.select(F.col(key).alias("id"), fingerprint(text).alias("__f"))))
 
 
-def similar_pairs(
-    df: DataFrame, key: str, text: str, threshold: float = 0.8, n: int = 3, bands: int = 16, rows: int = 8
-) -> DataFrame:
-    """Similar texts as (a, b, similarita), every one checked by its exact Jaccard similarity.
+def _scored(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with their intersection and sizes."""
+    left = sets.select(F.col("id").alias("a"), F.col("s").alias("sa"))
+    right = sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
+    both = F.size(F.array_intersect("sa", "sb")).cast("long").alias("both")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", both, F.size("sa").alias("na"), F.size("sb").alias("nb"))
 
-    Copies come as (leader, copy, 1.0). Other texts meet in MinHash buckets, where each text
-    is linked to one leader it is similar to. The links connect what is similar; they do not
-    list every pair. Like all MinHash buckets they may miss a pair close to the threshold.
 
-    Texts are never shuffled as a whole: a first pass makes fingerprints and bucket numbers
-    in place, and only texts that share a bucket are read again to be compared. Runs jobs:
-    one round for each leader of the fullest bucket.
-    """
-    df = df.filter(F.col(text).isNotNull())
-    hashed = df.select(F.col(key).alias("id"), fingerprint(text).alias("__f"), shingles(text, n).alias("s"))
-    marks = _saved(_with_bands(hashed, bands, rows))
-    copies = _copies(marks).withColumn("similarita", F.lit(1.0))
-    once = marks.groupBy("__f").agg(F.min_by("bands", "id").alias("bands"), F.min("id").alias("id"))
-    open_rows = once.select("id", F.posexplode("bands").alias("band", "bucket"))
-    found = None
+def _shared_prefixes(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(key, id): elements of the sets' prefixes that at least two sets share."""
+    n = F.size("s")
+    prefix = (n - F.ceil(n * F.lit(num) / F.lit(den)) + 1).cast("int")
+    rows = sets.select("id", F.explode(F.slice("s", F.lit(1), prefix)).alias("key"))
+    shared = rows.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi").select("key")
+    return rows.join(shared, "key", "left_semi")
+
+
+def _linked_members(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(id, cluster) of the ids that have a link."""
+    blocks, found, pivots = members.withColumn("cluster", F.col("id")), None, 1
     while True:
-        # Leaders of the buckets that still hold at least two texts.
-        lead = open_rows.groupBy("band", "bucket").agg(F.min("id").alias("a"), F.count("*").alias("__n"))
-        lead = lead.filter("__n > 1").drop("__n")
-        member = _saved(attach(open_rows, lead, ["band", "bucket"], "inner").filter("id <> a"))
-        links = member.select("a", F.col("id").alias("b")).distinct()
-        wanted = links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        sets = df.select(F.col(key).alias("id"), F.col(text).alias("__t")).join(wanted, "id", "left_semi")
-        sets = _saved(sets.select("id", shingles("__t", n).alias("s")))
-        left = sets.select(F.col("id").alias("a"), F.col("s").alias("sa"))
-        right = sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
-        scored = links.join(right, "b").join(left, "a").select("a", "b", jaccard("sa", "sb").alias("similarita"))
-        good = _saved(scored).filter(F.col("similarita") >= threshold)
-        found = good if found is None else found.union(good)
-        done = good.select("a", F.col("b").alias("id"))
-        open_rows = member.join(done, ["a", "id"], "left_anti").select("id", "band", "bucket")
-        if open_rows.isEmpty():
-            break
-    return found.distinct().unionByName(copies)
+        counts = blocks.groupBy("key", "cluster").agg(F.count("*").alias("n"))
+        largest = counts.groupBy("key").agg(F.max(F.struct("n", "cluster"))["cluster"].alias("largest"), F.count("*").alias("parts"))
+        blocks = _saved(blocks.join(largest.filter("parts > 1").drop("parts"), "key"))
+        if found is not None and blocks.isEmpty():
+            return found
+        place = F.row_number().over(Window.partitionBy("key").orderBy("id"))
+        chosen = blocks.filter("cluster <> largest").withColumn("__n", place).filter(F.col("__n") <= pivots)
+        chosen = _saved(chosen.select("key", F.col("id").alias("p"), F.col("cluster").alias("pc")))
+        met = blocks.join(chosen, "key").filter("cluster <> pc")
+        pairs = met.select(F.least("p", "id").alias("a"), F.greatest("p", "id").alias("b")).distinct()
+        scored = _scored(pairs, sets)
+        links = _saved(scored.filter(F.col("both") * den >= (F.col("na") + F.col("nb") - F.col("both")) * num).select("a", "b"))
+        if found is None:
+            found = _saved(clusters(links))
+        elif not links.isEmpty():
+            found = _saved(clusters(links.union(found.filter("id <> cluster").select("id", "cluster"))))
+        rest = blocks.drop("cluster", "largest").join(chosen.select("key", F.col("p").alias("id")), ["key", "id"], "left_anti")
+        blocks = rest.join(found, "id", "left").select("key", "id", F.coalesce("cluster", "id").alias("cluster"))
+        pivots *= 4
+
+
+def similar_clusters(df: DataFrame, key: str, text: str, num: int = 80, den: int = 100, n: int = 3) -> DataFrame:
+    """(id, cluster, similarita) of the texts linked by a similarity of at least ``num`` / ``den``.
+
+    The cluster is the smallest key that links reach; ``similarita`` is the exact similarity to
+    that text, which may be below the threshold where others lie between. Keys are distinct;
+    NULL texts are left out. Runs jobs: the sets, and some for each round.
+    """
+    rows = df.filter(F.col(text).isNotNull()).select(
+        F.col(key).alias("id"), fingerprint(text).alias("f"), F.array_sort(shingles(text, n)).alias("s")
+    )
+    rows = _saved(rows)
+    copies = _saved(rows.groupBy("f").agg(F.min("id").alias("one"), F.count("*").alias("n")))
+    sets = _saved(rows.join(copies.select(F.col("one").alias("id")), "id", "left_semi").select("id", "s"))
+    found = _linked_members(_saved(_shared_prefixes(sets, num, den)), sets, num, den)
+    led = copies.join(found.withColumnRenamed("id", "one"), "one", "left").filter("n > 1 OR cluster IS NOT NULL")
+    led = _saved(led.select("f", "one", F.coalesce("cluster", "one").alias("cluster")))
+    scores = _scored(led.filter("one <> cluster").select(F.col("cluster").alias("a"), F.col("one").alias("b")), sets)
+    scores = scores.select(F.col("b").alias("one"), (F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("similarita"))
+    led = _saved(led.join(scores, "one", "left").select("f", "cluster", F.coalesce("similarita", F.lit(1.0)).alias("similarita")))
+    return rows.select("id", "f").join(led, "f").select("id", "cluster", "similarita")
+
+
+def similar_pairs(df: DataFrame, key: str, text: str, num: int = 80, den: int = 100, n: int = 3) -> DataFrame:
+    """(a, b, similarita): every clustered text b with the first text of its cluster."""
+    found = similar_clusters(df, key, text, num, den, n).filter("id <> cluster")
+    return found.select(F.col("cluster").alias("a"), F.col("id").alias("b"), "similarita")
 
 
 def clusters(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

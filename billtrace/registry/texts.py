@@ -111,14 +111,29 @@ def t10(t: Tables):
     return out.select("conv_id", "turn", F.round("similarita", 6).alias("similarita"))
 
 
-@query("t10_similar_pairs")
+CLUSTERS = f"""WITH RECURSIVE s AS (SELECT doc_id, {RUNS.format(w='w')} AS x FROM (
+         SELECT doc_id, string_split(trim(regexp_replace(lower(text), '\\s+', ' ', 'g')), ' ') AS w FROM documents WHERE text IS NOT NULL)),
+       e AS (SELECT doc_id, len(x) AS n, unnest(x) AS g FROM s),
+       i AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c
+         FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+       l AS (SELECT a, b FROM i WHERE c * 100 >= 80 * (na + nb - c)),
+       r AS (SELECT a AS id, a AS m FROM l UNION SELECT l.b, r.m FROM r JOIN l ON l.a = r.id),
+       k AS (SELECT id, min(m) AS cluster FROM r GROUP BY id)
+       """
+
+
+@query(
+    "t10_similar_pairs",
+    CLUSTERS + """SELECT k.cluster AS a, k.id AS b, round(coalesce(CAST(i.c AS DOUBLE) / (i.na + i.nb - i.c), 0), 6) AS similarita
+       FROM k LEFT JOIN i ON i.a = k.cluster AND i.b = k.id WHERE k.id <> k.cluster""",
+)
 def t10_pairs(t: Tables):
     return similarity.similar_pairs(t.documents, "doc_id", "text").withColumn("similarita", F.round("similarita", 6))
 
 
-@query("t11_clusters")
+@query("t11_clusters", CLUSTERS + "SELECT id, cluster FROM k")
 def t11(t: Tables):
-    return similarity.clusters(similarity.similar_pairs(t.documents, "doc_id", "text"))
+    return similarity.similar_clusters(t.documents, "doc_id", "text").select("id", "cluster")
 
 
 @query(
