@@ -120,10 +120,20 @@ def nest(children: DataFrame, key: str, child: Column, order: Column, name: str,
     return arrays.select(key, "parte", F.transform("__all", lambda x: x["__child"]).alias(name))
 
 
-def consolidate(bills: DataFrame, signers: DataFrame, amendments: DataFrame, per_part: int = 10_000) -> DataFrame:
-    """Nested act documents: versions and signers in part 0, amendments spread over the parts.
+def enriched_proponents(amendments: DataFrame, persons: DataFrame) -> DataFrame:
+    """The proponents of each amendment file (by path) as an array of id, name, group and gender."""
+    rows = proponent_rows(amendments.withColumn("id", F.col("path")), persons)
+    one = F.struct(
+        F.col("proponente_id").alias("id"), F.col("proponente_nome").alias("name"),
+        F.col("proponente_gruppo").alias("group"), F.col("proponente_genere").alias("gender"),
+    )
+    return rows.groupBy(F.col("emendamento_id").alias("path")).agg(F.array_sort(F.collect_list(one)).alias("enriched_proponents"))
+
+
+def consolidate(acts: DataFrame, bills: DataFrame, signers: DataFrame, amendments: DataFrame, per_part: int = 10_000) -> DataFrame:
+    """Nested act documents: legislature, versions and signers in part 0, amendments spread over the parts.
 
-    An act has at most three versions, so its map of versions is small.
+    ``acts`` has atto_id and leg. An act has at most three versions, so its map of versions is small.
     """
     versions = one_per_version(bills).groupBy("atto_id").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("versione", F.struct("date", "number", "type", "articles"))))).alias(
@@ -134,7 +144,7 @@ def consolidate(bills: DataFrame, signers: DataFrame, amendments: DataFrame, per
                 F.struct(~F.col("primo_firmatario"), "nome"), "firmatari_atto", per_part)
     cols = [c for c in amendments.columns if c != "atto_id"]
     emend = nest(amendments, "atto_id", F.struct(*cols), F.col("id"), "amendments", per_part)
-    head = versions.withColumn("parte", F.lit(0))
+    head = acts.join(versions, "atto_id", "left").withColumn("parte", F.lit(0))
     return head.join(firm, ["atto_id", "parte"], "outer").join(emend, ["atto_id", "parte"], "outer")
 
 
@@ -146,7 +156,7 @@ def flatten_act(docs: DataFrame) -> dict[str, DataFrame]:
     signers = docs.select("atto_id", F.explode("firmatari_atto").alias("f")).select("atto_id", "f.*")
     proponents = amendments.select(F.col("id").alias("emendamento_id"), F.explode("enriched_proponents").alias("x"))
     return {
-        "t_atti": docs.select("atto_id", "leg").distinct() if "leg" in docs.columns else docs.select("atto_id").distinct(),
+        "t_atti": docs.filter(F.col("leg").isNotNull()).select("atto_id", F.col("leg").alias("legislatura")).distinct(),
         "t_firmatari_atto": signers,
         "t_articoli": articles(bills),
         "t_emendamenti": amendment_rows(amendments),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,30 +17,43 @@ def _located(parsed: DataFrame) -> DataFrame:
     return add_path_parts(parsed).withColumn("legislatura", F.col("legislatura").cast("string"))
 
 
-def act_tables(bill_files: DataFrame, amendment_files: DataFrame, persons: DataFrame) -> dict[str, DataFrame]:
-    """Parse, enrich and flatten straight to tables; no whole act is ever put in one row.
+TABLES = ("t_atti", "t_firmatari_atto", "t_articoli", "t_emendamenti", "t_proponenti")
+
+
+def _acts(bills: DataFrame, amendments: DataFrame) -> DataFrame:
+    return bills.select("atto_id", "legislatura").union(amendments.select("atto_id", "legislatura")).distinct()
+
+
+def act_tables(bill_files: DataFrame, amendment_files: DataFrame, persons: DataFrame, wanted: Sequence[str] = TABLES) -> dict[str, DataFrame]:
+    """Parse, enrich and flatten straight to the wanted tables; no whole act is ever put in one row.
 
-    The parsed files and the persons feed several tables, so they are written once. Runs jobs.
+    Parsed files that feed several of them are written once, which runs a job for each kind.
     """
-    bills = staged(_located(parse_bills(bill_files)).withColumn("versione", F.col("kind")), "bills")
+
+    def parsed(rows: DataFrame, label: str, *users: str) -> DataFrame:
+        return staged(rows, label) if len({*users} & {*wanted}) > 1 else rows
+
+    bills = parsed(_located(parse_bills(bill_files)).withColumn("versione", F.col("kind")), "bills", "t_atti", "t_firmatari_atto", "t_articoli")
     bills = flatten.one_per_version(bills)
-    amendments = flatten.with_metadata(staged(_located(parse_amendments(amendment_files)), "amendments"))
-    persons = staged(persons, "persons")
-    acts = bills.select("atto_id", "legislatura").union(amendments.select("atto_id", "legislatura")).distinct()
-    return {
-        "t_atti": acts,
-        "t_firmatari_atto": flatten.bill_signers(bills),
-        "t_articoli": flatten.articles(bills),
-        "t_emendamenti": flatten.amendment_rows(amendments),
-        "t_proponenti": flatten.proponent_rows(amendments, persons),
+    amendments = parsed(_located(parse_amendments(amendment_files)), "amendments", "t_atti", "t_emendamenti", "t_proponenti")
+    amendments = flatten.with_metadata(amendments)
+    tables = {
+        "t_atti": lambda: _acts(bills, amendments),
+        "t_firmatari_atto": lambda: flatten.bill_signers(bills),
+        "t_articoli": lambda: flatten.articles(bills),
+        "t_emendamenti": lambda: flatten.amendment_rows(amendments),
+        "t_proponenti": lambda: flatten.proponent_rows(amendments, staged(persons, "persons")),
     }
+    return {name: tables[name]() for name in wanted}
 
 
-def build_documents(bill_files: DataFrame, amendment_files: DataFrame, per_part: int = 10_000) -> DataFrame:
-    """The nested act documents, in parts of bounded size."""
+def build_documents(bill_files: DataFrame, amendment_files: DataFrame, persons: DataFrame, per_part: int = 10_000) -> DataFrame:
+    """The nested act documents, in parts of bounded size, with enriched proponents."""
     bills = staged(_located(parse_bills(bill_files)).withColumn("versione", F.col("kind")), "bills")
+    bills = flatten.one_per_version(bills)
     amendments = flatten.with_metadata(staged(_located(parse_amendments(amendment_files)), "amendments"))
-    kept = amendments.select(
-        "atto_id", "path", "id", "date", "number", "name", "target_ddl", "target_info", "proponents", "content"
-    )
-    return flatten.consolidate(bills, flatten.bill_signers(flatten.one_per_version(bills)), kept, per_part)
+    acts = _acts(bills, amendments).withColumnRenamed("legislatura", "leg")
+    enriched = flatten.enriched_proponents(amendments, staged(persons, "persons"))
+    kept = amendments.select("atto_id", "path", "id", "date", "number", "name", "target_ddl", "target_info", "proponents", "content")
+    kept = kept.join(enriched, "path", "left")
+    return flatten.consolidate(acts, bills, flatten.bill_signers(bills), kept, per_part)

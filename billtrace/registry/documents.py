@@ -104,12 +104,45 @@ ARTICLES = """SELECT concat('Atto', doc_id) AS atto_id, 'art1' AS articolo_id, '
               'ddlpres' AS versione, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS testo_integrale FROM documents"""
 
 
+def _flat(t, name):
+    return flatten.flatten_act(build_documents(_bills(t), _amendments(t), _persons(t), per_part=50))[name]
+
+
 @query("x5_flatten_act", ARTICLES)
 def x5(t: Tables):
-    docs = build_documents(_bills(t), _amendments(t), per_part=50)
-    named = docs.withColumn("amendments", F.transform("amendments", lambda e: e.withField("enriched_proponents", F.lit(None).cast(
-        "array<struct<id:string,name:string,group:string,gender:string>>"))))
-    return flatten.flatten_act(named)["t_articoli"]
+    return _flat(t, "t_articoli")
+
+
+ACTS = """SELECT concat('Atto', doc_id) AS atto_id, '19' AS legislatura FROM documents UNION SELECT concat('Atto', atto), '19' FROM proposals"""
+
+
+@query("x5_acts", ACTS, "proposals")
+def x5_acts(t: Tables):
+    return _flat(t, "t_atti")
+
+
+@query("d10_acts", ACTS, "proposals")
+def d10_acts(t: Tables):
+    return act_tables(_bills(t), _amendments(t), _persons(t), ["t_atti"])["t_atti"]
+
+
+SIGNERS = """SELECT concat('Atto', doc_id) AS atto_id, 'Rossi' AS nome, 'F' AS genere, true AS primo_firmatario FROM documents
+       UNION ALL SELECT concat('Atto', doc_id), 'Bianchi', 'M', false FROM documents"""
+
+
+@query("x5_signers", SIGNERS)
+def x5_signers(t: Tables):
+    return _flat(t, "t_firmatari_atto")
+
+
+@query("d10_act_signers", SIGNERS)
+def d10_signers(t: Tables):
+    return act_tables(_bills(t), _amendments(t), _persons(t), ["t_firmatari_atto"])["t_firmatari_atto"]
+
+
+@query("d10_act_articles", ARTICLES)
+def d10_articles(t: Tables):
+    return act_tables(_bills(t), _amendments(t), _persons(t), ["t_articoli"])["t_articoli"]
 
 
 @query(
@@ -180,9 +213,7 @@ def _votes(t):
     return flatten.explode_votes(votes, "id_votazione", {"favorevole": "si", "contrario": "no", "astenuto": "ast"})
 
 
-@query(
-    "d10_act_proponents",
-    f"""WITH listed AS (
+PROPONENTS = f"""WITH listed AS (
          SELECT em_id, data, CAST(p1 AS STRING) AS pid FROM proposals UNION ALL SELECT em_id, data, CAST(p2 AS STRING) FROM proposals),
        spans AS ({SPANS}), persons AS ({PERSONS}),
        hits AS (SELECT l.em_id, l.pid, s.nome, row_number() OVER (PARTITION BY l.em_id, l.pid ORDER BY s.inizio, s.uri, s.fine NULLS FIRST) AS rn
@@ -192,21 +223,31 @@ def _votes(t):
               CASE WHEN p.id IS NULL THEN concat('Nome ', l.pid) ELSE p.full_name END AS proponente_nome,
               CASE WHEN p.id IS NULL THEN NULL WHEN h.em_id IS NULL THEN 'Misto / Sconosciuto' ELSE h.nome END AS proponente_gruppo,
               p.gender AS proponente_genere
-       FROM listed l LEFT JOIN persons p ON p.id = l.pid LEFT JOIN hits h ON h.em_id = l.em_id AND h.pid = l.pid AND h.rn = 1""",
-    "proposals people joined group_titles",
-)
+       FROM listed l LEFT JOIN persons p ON p.id = l.pid LEFT JOIN hits h ON h.em_id = l.em_id AND h.pid = l.pid AND h.rn = 1"""
+
+
+@query("x5_proponents", PROPONENTS, "proposals people joined group_titles")
+def x5_proponents(t: Tables):
+    return _flat(t, "t_proponenti")
+
+
+@query("d10_act_proponents", PROPONENTS, "proposals people joined group_titles")
 def d10(t: Tables):
-    return act_tables(_bills(t), _amendments(t), _persons(t))["t_proponenti"]
+    return act_tables(_bills(t), _amendments(t), _persons(t), ["t_proponenti"])["t_proponenti"]
 
 
-@query(
-    "d10_act_amendments",
-    """SELECT concat('Atto', atto) AS atto_id, CAST(em_id AS STRING) AS emendamento_id, number AS numero_emendamento,
-              string_split(number, '.')[1] AS articolo_target, data, 'Emendamento n. 3.1' AS target_info, testo AS testo_emendamento FROM proposals""",
-    "proposals",
-)
+AMENDMENTS = """SELECT concat('Atto', atto) AS atto_id, CAST(em_id AS STRING) AS emendamento_id, number AS numero_emendamento,
+              string_split(number, '.')[1] AS articolo_target, data, 'Emendamento n. 3.1' AS target_info, testo AS testo_emendamento FROM proposals"""
+
+
+@query("x5_amendments", AMENDMENTS, "proposals")
+def x5_amendments(t: Tables):
+    return _flat(t, "t_emendamenti")
+
+
+@query("d10_act_amendments", AMENDMENTS, "proposals")
 def d10_amendments(t: Tables):
-    return act_tables(_bills(t), _amendments(t), _persons(t))["t_emendamenti"]
+    return act_tables(_bills(t), _amendments(t), _persons(t), ["t_emendamenti"])["t_emendamenti"]
 
 
 @query(
