@@ -10,8 +10,10 @@ What meets in a block is a candidate only, and every candidate is settled, in tw
 rounds of stars: each block whose members are not yet in one component checks one of them against
 those of other components, by exact intersection. That joins n near copies with about n checks.
 When a round joins little, what is left (texts that share blocks but are not similar, say) is
-compared in full, but by sketches: tasks take tiles of a block and keep the pairs of different
-components whose sketches differ in no more bits than allowed; only these are intersected.
+compared in full, in tiles: a task takes two parts of a block of bounded size, looks at pairs of
+different components whose sketches differ in no more bits than allowed, settles those by exact
+intersection where they lie, and sends only links that join what the tile had not joined yet. A
+tile never sends more rows than it holds.
 
 Texts with the same set are one node. A set is spread over K blocks, so no block holds more rows
 than there are nodes, a small part of all block rows.
@@ -37,8 +39,11 @@ BAND_GROWTH = 1.5
 MAX_KNOWN_WORDS = 300_000
 MAX_SEEN = 500_000
 SKETCH_BITS = 256  # at least
+BITS_PER_ELEMENT = 8  # of sketches in tiles, up to MAX_SKETCH_BITS
+MAX_SKETCH_BITS = 1 << 17
 PAIRS_PER_PART = 500
-TILE = 1024
+TILE = 1024  # most rows of a part of a block
+TILE_ELEMENTS = 1_000_000  # and about the most elements of their sets
 STAR_SHARE = 0.1  # rounds of stars go on while they join this share of what is open
 _U = np.uint64
 
@@ -203,22 +208,13 @@ def _shared(rows: DataFrame) -> DataFrame:
     return map_rows(rows.repartition("key").sortWithinPartitions("key", "node"), _MEMBER, step)
 
 
-def _sketch(own: np.ndarray) -> bytes:
-    """Bit sketch of a set for comparison, about half a bit for each element. Half a sketch is the fold of the whole."""
-    bits = SKETCH_BITS
-    while bits < len(own) // 2:
-        bits *= 2
-    at = ((own >> _U(8)) & _U(bits - 1)).astype(np.int64)
-    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
-
-
 class _Sets:
-    """(node, n, sketch, s) of the nodes that share a block, bucketed by node so that joins never shuffle them."""
+    """(node, n, s) of the nodes that share a block, bucketed by node so that joins never shuffle them."""
 
     def __init__(self, df: DataFrame, wanted: DataFrame, id_col: str, text_col: str, n: int):
         self.spark = df.sparkSession
         self.name = f"sets_{uuid.uuid4().hex}"
-        kinds = {"node": T.LongType(), "n": T.IntegerType(), "sketch": T.BinaryType(), "s": T.ArrayType(T.LongType())}
+        kinds = {"node": T.LongType(), "n": T.IntegerType(), "s": T.ArrayType(T.LongType())}
 
         @F.arrow_udf(T.StructType([T.StructField(k, v) for k, v in kinds.items()]))
         def describe(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -228,9 +224,7 @@ class _Sets:
                 offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
                 nodes = pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())
-                yield pa.StructArray.from_arrays(
-                    [nodes, pa.array([len(s) for s in sets], pa.int32()), pa.array([_sketch(s) for s in sets], pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], [*kinds]
-                )
+                yield pa.StructArray.from_arrays([nodes, pa.array([len(s) for s in sets], pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], [*kinds])
 
         texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         texts = texts.join(wanted.select(F.col("id").alias("__w"), F.col("node").alias("__node")), F.col("id").eqNullSafe(F.col("__w")))
@@ -262,50 +256,72 @@ def _linked(pairs: DataFrame, sets: _Sets, num: int, den: int) -> DataFrame:
     return staged(good.select("p", "z").distinct(), "links")
 
 
-def _folded(sketches: list[bytes]) -> np.ndarray:
-    """Sketches as rows of 64-bit words, folded to the shortest."""
-    least = min(map(len, sketches))
-    out = np.zeros((len(sketches), least // 8), np.uint64)
-    for i, sketch in enumerate(sketches):
-        out[i] = np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, least // 8), axis=0)
-    return out
+def _sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """Bit sketches of the sets as rows of 64-bit words: each element flips a bit, so sketches differ in no more bits than sets do in elements."""
+    bits = SKETCH_BITS
+    while bits < min(MAX_SKETCH_BITS, BITS_PER_ELEMENT * max(map(len, sets))):
+        bits *= 2
+    out = np.zeros((len(sets), bits // 8), np.uint8)
+    for i, own in enumerate(sets):
+        at = ((own >> _U(8)) & _U(bits - 1)).astype(np.int64)
+        out[i] = np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8))
+    return out.view(np.uint64)
+
+
+def _tile_links(node: list[int], component: list[int], sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
+    """Links that join different components of a tile; none between what earlier ones joined."""
+    numbers: dict[int, int] = {}
+    own = np.array([numbers.setdefault(c, len(numbers)) for c in component])
+    if len(numbers) == 1:
+        return []
+    n = np.array([len(s) for s in sets], np.int64)
+    words, links = _sketches(sets), []
+    for i in range(len(sets)):
+        differ = np.bitwise_count(words[i] ^ words[i + 1 :]).sum(axis=1, dtype=np.int64)
+        near = differ * (den + num) <= (n[i] + n[i + 1 :]) * (den - num)
+        for j in i + 1 + np.flatnonzero(near & (own[i] != own[i + 1 :])):
+            if own[i] == own[j]:
+                continue
+            shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if shared * den >= int(n[i] + n[j] - shared) * num:
+                own[own == own[j]] = own[i]
+                links.append((min(node[i], node[j]), max(node[i], node[j])))
+    return links
 
 
-def _close_pairs(blocks: DataFrame, sets: _Sets, num: int, den: int) -> DataFrame:
-    """(p, z): pairs of different components within a block whose sketches leave the threshold open.
+def _tiled_links(blocks: DataFrame, sets: _Sets, num: int, den: int) -> DataFrame:
+    """(p, z): links between different components within a block, enough of them to join all that link.
 
-    Blocks of more than ``TILE`` rows are cut into parts, and each two parts meet in a task.
+    Blocks of more than ``TILE`` rows or ``TILE_ELEMENTS`` elements are cut into parts, and each two
+    parts meet in a task.
     """
-    sizes = staged(blocks.groupBy("key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("parts")), "tiles")
-    rows = blocks.join(sizes, "key").join(sets.of("node", "n", "sketch"), "node")
+    sized = blocks.join(sets.of("node", "n"), "node")
+    parts = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") / TILE_ELEMENTS)).cast("int")
+    sizes = staged(sized.groupBy("key").agg(parts.alias("parts")), "tiles")
+    rows = blocks.join(sizes, "key").join(sets.of("node", "s"), "node")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select("key", F.least("own", "other").alias("t1"), F.greatest("own", "other").alias("t2"), "node", "component", "n", "sketch")
+    rows = rows.select("key", F.least("own", "other").alias("t1"), F.greatest("own", "other").alias("t2"), "node", "component", "s")
 
     def step(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
-        def solve(group: list[dict]) -> Iterator[dict]:
-            node, component, n = (np.array([r[c] for r in group], np.int64) for c in ("node", "component", "n"))
-            if (component == component[0]).all():
-                return
-            words = _folded([r["sketch"] for r in group])
-            for i in range(0, len(group), 128):
-                differ = np.zeros((len(words[i : i + 128]), len(words)), np.int64)
-                for w in range(words.shape[1]):
-                    differ += np.bitwise_count(words[i : i + 128, w, None] ^ words[None, :, w])
-                open_ = (differ * (den + num) <= (n[i : i + 128, None] + n) * (den - num)) & (component[i : i + 128, None] != component)
-                p, z = np.nonzero(open_)
-                p, z = node[i + p], node[z]
-                yield {"p": p[p < z], "z": z[p < z]}
-
-        group: list[dict] = []
+        def solve() -> Iterator[dict]:
+            if len(group) > 1:
+                node, component, own = (list(c) for c in zip(*group))
+                if links := _tile_links(node, component, own, num, den):
+                    p, z = zip(*links)
+                    yield {"p": p, "z": z}
+
+        at, group = None, []
         for batch in batches:
-            for r in batch.to_pylist():
-                if group and (r["key"], r["t1"], r["t2"]) != (group[0]["key"], group[0]["t1"], group[0]["t2"]):
-                    yield from solve(group)
-                    group = []
-                group.append(r)
-        if group:
-            yield from solve(group)
+            key, t1, t2, node, component = (batch.column(i).to_pylist() for i in range(5))
+            lists = batch.column("s")
+            values, offsets = lists.values.to_numpy(zero_copy_only=False).view(np.uint64), lists.offsets.to_numpy()
+            for i in range(batch.num_rows):
+                if (key[i], t1[i], t2[i]) != at:
+                    yield from solve()
+                    at, group = (key[i], t1[i], t2[i]), []
+                group.append((node[i], component[i], values[offsets[i] : offsets[i + 1]]))
+        yield from solve()
 
     schema = T.StructType([T.StructField("p", T.LongType()), T.StructField("z", T.LongType())])
     return map_rows(rows.repartition("key", "t1", "t2").sortWithinPartitions("key", "t1", "t2"), schema, step).distinct()
@@ -339,7 +355,7 @@ def _resolve(members: DataFrame, sets: _Sets, num: int, den: int) -> DataFrame:
     blocks = staged(_open_blocks(blocks).drop("largest"), "blocks")
     if blocks.isEmpty():
         return component
-    return _joined(component, _linked(_close_pairs(blocks, sets, num, den), sets, num, den))
+    return _joined(component, staged(_tiled_links(blocks, sets, num, den), "links"))
 
 
 def _joined(component: DataFrame | None, links: DataFrame) -> DataFrame:
