@@ -10,8 +10,11 @@ What meets in a block is a candidate only, and every candidate is settled, in tw
 rounds of stars: each block whose members are not yet in one component checks one of them against
 those of other components, by exact intersection. That joins n near copies with about n checks.
 When a round joins little, what is left (texts that share blocks but are not similar, say) is
-compared in full, but by sketches: tasks take tiles of a block and keep the pairs of different
-components whose sketches differ in no more bits than allowed; only these are intersected.
+compared in full, but by sketches: tasks take tiles of a block and look for pairs of different
+components whose sketches differ in no more bits than allowed; only these are intersected. First
+each tile sends a forest of such pairs, fewer than it has rows: most are links, and they join near
+copies that the stars left apart. The last pass sends every such pair that is open even then, so
+that no link is lost where a pair of a forest was none.
 
 Texts with the same set are one node. A set is spread over K blocks, so no block holds more rows
 than there are nodes, a small part of all block rows.
@@ -271,10 +274,25 @@ def _folded(sketches: list[bytes]) -> np.ndarray:
     return out
 
 
-def _close_pairs(blocks: DataFrame, sets: _Sets, num: int, den: int) -> DataFrame:
+def _forest(close: np.ndarray, differ: np.ndarray, at: int, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Close pairs of the rows from ``at`` on that join labels, the closest for each; updates the labels."""
+    p, z = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for k in range(len(close)):
+        near = np.flatnonzero(close[k] & (label != label[at + k]))
+        if len(near):
+            near = near[np.argsort(differ[k, near], kind="stable")]
+            met, first = np.unique(label[near], return_index=True)
+            p.append(np.full(len(met), at + k))
+            z.append(near[first])
+            label[np.isin(label, met)] = label[at + k]
+    return np.concatenate(p), np.concatenate(z)
+
+
+def _close_pairs(blocks: DataFrame, sets: _Sets, num: int, den: int, forest: bool) -> DataFrame:
     """(p, z): pairs of different components within a block whose sketches leave the threshold open.
 
-    Blocks of more than ``TILE`` rows are cut into parts, and each two parts meet in a task.
+    Blocks of more than ``TILE`` rows are cut into parts, and each two parts meet in a task. With
+    ``forest`` a task keeps only pairs that connect what its tile's pairs connect.
     """
     sizes = staged(blocks.groupBy("key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("parts")), "tiles")
     rows = blocks.join(sizes, "key").join(sets.of("node", "n", "sketch"), "node")
@@ -287,14 +305,18 @@ def _close_pairs(blocks: DataFrame, sets: _Sets, num: int, den: int) -> DataFram
             node, component, n = (np.array([r[c] for r in group], np.int64) for c in ("node", "component", "n"))
             if (component == component[0]).all():
                 return
-            words = _folded([r["sketch"] for r in group])
+            words, label = _folded([r["sketch"] for r in group]), component.copy()
             for i in range(0, len(group), 128):
                 differ = np.zeros((len(words[i : i + 128]), len(words)), np.int64)
                 for w in range(words.shape[1]):
                     differ += np.bitwise_count(words[i : i + 128, w, None] ^ words[None, :, w])
-                open_ = (differ * (den + num) <= (n[i : i + 128, None] + n) * (den - num)) & (component[i : i + 128, None] != component)
-                p, z = np.nonzero(open_)
-                p, z = node[i + p], node[z]
+                close = differ * (den + num) <= (n[i : i + 128, None] + n) * (den - num)
+                if forest:
+                    p, z = _forest(close, differ, i, label)
+                    p, z = np.minimum(node[p], node[z]), np.maximum(node[p], node[z])
+                else:
+                    p, z = np.nonzero(close & (component[i : i + 128, None] != component))
+                    p, z = node[i + p], node[z]
                 yield {"p": p[p < z], "z": z[p < z]}
 
         group: list[dict] = []
@@ -332,14 +354,24 @@ def _resolve(members: DataFrame, sets: _Sets, num: int, den: int) -> DataFrame:
         links = _linked(met.select(F.least("p", "node").alias("p"), F.greatest("p", "node").alias("z")).distinct(), sets, num, den)
         joined = links.count()
         component = _joined(component, links)
-        rest = blocks.join(stars.select("key", F.col("p").alias("node")), ["key", "node"], "left_anti").drop("largest", "component")
-        blocks = rest.join(component, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+        rest = blocks.join(stars.select("key", F.col("p").alias("node")), ["key", "node"], "left_anti")
+        blocks = _placed(rest, component)
         if joined < STAR_SHARE * n:
             break
-    blocks = staged(_open_blocks(blocks).drop("largest"), "blocks")
-    if blocks.isEmpty():
-        return component
-    return _joined(component, _linked(_close_pairs(blocks, sets, num, den), sets, num, den))
+    for forest in (True, False):
+        blocks = staged(_open_blocks(blocks).drop("largest"), "blocks")
+        if blocks.isEmpty():
+            break
+        links = _linked(_close_pairs(blocks, sets, num, den, forest), sets, num, den)
+        component = _joined(component, links)
+        blocks = _placed(blocks, component)
+    return component
+
+
+def _placed(blocks: DataFrame, component: DataFrame) -> DataFrame:
+    """Rows of blocks with the components of now."""
+    rows = blocks.select("key", "node").join(component, "node", "left")
+    return rows.select("key", "node", F.coalesce("component", "node").alias("component"))
 
 
 def _joined(component: DataFrame | None, links: DataFrame) -> DataFrame:
