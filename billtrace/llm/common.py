@@ -40,6 +40,12 @@ def map_rows(df: DataFrame, schema: T.StructType, step: Callable[[Iterable[pa.Re
     return df.mapInArrow(run, schema)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a table that this run wrote and nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def field(df: DataFrame, name: str, as_name: str | None = None) -> T.StructField:
     return T.StructField(as_name or name, df.schema[name].dataType)
 
@@ -58,4 +64,4 @@ def sample_per_class(df: DataFrame, label: str, key: str, per_class: int) -> Dat
     return df.filter(chosen)
 
 
-__all__ = ["field", "map_rows", "ready", "sample_per_class", "scratch_path", "staged", "texts_as_bytes"]
+__all__ = ["discard", "field", "map_rows", "ready", "sample_per_class", "scratch_path", "staged", "texts_as_bytes"]

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, language_id, packing, parity_join, secret_scan, sharding, suffix_dedup, toxicity, warc
+from . import (
+    decontamination,
+    exact_dedup,
+    importance,
+    language_id,
+    packing,
+    parity_join,
+    permutation_index,
+    secret_scan,
+    sharding,
+    suffix_dedup,
+    toxicity,
+    vector_codes,
+    warc,
+)
 from .common import ready, sample_per_class, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,3 +181,102 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     guess = language_id.identifier(spark, language_id.train(documents.filter(fold() != 1)))
     found = documents.select("doc_id", (fold() == 1).alias("held_out"), guess("text").alias("g"))
     return found.select("doc_id", "held_out", F.col("g.lang").alias("lang_pred"), "g.score")
+
+
+@_query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors after six rounds over codebooks of 16 entries."""
+    return vector_codes.compress(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def _rounds_sql(parts: int = 8, size: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Plain rounds, one after the other: every part against every entry of its codebook."""
+    steps = [
+        f"""k AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 4096) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS MATERIALIZED (
+  SELECT vec_id, label, part, v[part * {size} + 1 : part * {size} + {size}] AS x FROM k, range({parts}) r(part)
+), b0 AS MATERIALIZED (
+  SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS e, x AS c FROM p
+  QUALIFY row_number() OVER (PARTITION BY part ORDER BY vec_id) <= {entries}
+)"""
+    ]
+    away = " + ".join(f"(x[{j}] - c[{j}]) * (x[{j}] - c[{j}])" for j in range(1, size + 1))
+    total = lambda j: f"CAST(sum(x[{j}]) AS BIGINT)"
+    mean = ", ".join(f"({total(j)} - ((({total(j)} % count(*)) + count(*)) % count(*))) // count(*)" for j in range(1, size + 1))
+    for r in range(rounds + 1):
+        steps.append(f"a{r} AS MATERIALIZED (SELECT vec_id, label, part, x, min(({away}) * {entries} + e) AS m FROM p JOIN b{r} USING (part) GROUP BY ALL)")
+        if r < rounds:
+            steps.append(
+                f"b{r + 1} AS MATERIALIZED (SELECT b.part, b.e, coalesce(n.c, b.c) AS c FROM b{r} b LEFT JOIN "
+                f"(SELECT part, m % {entries} AS e, [{mean}] AS c FROM a{r} GROUP BY part, m % {entries}) n ON n.part = b.part AND n.e = b.e)"
+            )
+    steps.append(
+        f"""coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', m % {entries}), '' ORDER BY part) AS code, CAST(sum(m // {entries}) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY vec_id, label
+)"""
+    )
+    return (
+        f"WITH {', '.join(steps)}\n"
+        "SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,\n"
+        f"       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, e)) FROM b{rounds}) AS codebooks_sha256\nFROM coded"
+    )
+
+
+SQL["op11_vector_codes"] = _rounds_sql()
+
+
+@_query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents weighed by their likeness to the benchmark; a tenth of those with 20 words drawn."""
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+# A CRC-32 over the bytes of each distinct word; its table of 256 entries follows from the polynomial.
+SQL["op12_importance_resampling"] = r"""
+WITH bits AS (
+  SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS crc
+  FROM range(256) r(b)
+), d AS (
+  SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), t AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+  FROM benchmark
+), w AS (
+  SELECT row_no, unnest(words) AS word FROM d
+), known AS (
+  SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM w UNION SELECT word FROM t)
+), hashed AS (
+  SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(len(h) // 2), lambda i: CAST('0x' || h[i * 2 + 1 : i * 2 + 2] AS BIGINT))),
+         lambda c, b: xor(c >> 8, crc[xor(c & 255, b) + 1]))) % 10000 AS bucket
+  FROM known, bits
+), s AS (
+  SELECT bucket, count(*) AS n FROM w JOIN hashed USING (word) GROUP BY bucket
+), g AS (
+  SELECT bucket, count(*) AS n FROM t JOIN hashed USING (word) GROUP BY bucket
+), gain AS (
+  SELECT b AS bucket, CAST(floor(1000 * ln((coalesce(g.n, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM w) + 10000) / ((coalesce(s.n, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM t) + 10000)))) AS BIGINT) AS gain
+  FROM range(10000) r(b) LEFT JOIN s ON s.bucket = b LEFT JOIN g ON g.bucket = b
+), weight AS (
+  SELECT row_no, CAST(sum(gain) AS BIGINT) AS total, count(*) AS n FROM w JOIN hashed USING (word) JOIN gain USING (bucket) GROUP BY row_no
+), scored AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features, coalesce((total - ((total % n + n) % n)) // n, 0) AS weight,
+         CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5) / 4294967296.0::DOUBLE))) AS BIGINT) AS noise
+  FROM d LEFT JOIN weight USING (row_no)
+), ranked AS (
+  SELECT doc_id, n_features, weight, weight + noise AS score,
+         CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY weight + noise DESC, doc_id) END AS place
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= (SELECT count(place) * 10 // 100 FROM ranked) THEN place END AS rank FROM ranked
+"""
+
+
+@_query
+def op13_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found of every twentieth vector."""
+    found = permutation_index.nearest(_table(spark, sf_dir, "embeddings"))
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
