@@ -58,11 +58,6 @@ def text_distance(pairs: DataFrame, a: str, b: str, n: int = 3) -> DataFrame:
     return pairs.withColumn("similarita", jaccard(ngrams(a, n), ngrams(b, n)))
 
 
-def title_distance(a: Column | str, b: Column | str) -> Column:
-    """Edit distance; meant for short texts such as titles."""
-    return F.levenshtein(a, b)
-
-
 def _saved(df: DataFrame) -> DataFrame:
     return staged(df, "rows")
 
@@ -152,7 +147,7 @@ def clusters(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Alternates two steps that both only need the smallest neighbour of a node: link larger
     neighbours to it, then link smaller-or-equal ones to it. Stops when nothing changes.
-    Each round is cut by a reliable checkpoint.
+    Each round is cut by a written table.
     """
     edges = pairs.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u <> v")
     edges = _saved(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())

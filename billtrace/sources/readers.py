@@ -32,12 +32,6 @@ def read_table(
     raise ValueError(f"unknown format {fmt!r}")
 
 
-def read_csv_as_text(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """CSV with every column as text, for files whose types cannot be trusted."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return read_table(spark, path, schema, "csv")
-
-
 def read_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON corpus with one document per file."""
     return spark.read.schema(schema).option("multiLine", True).json(path)

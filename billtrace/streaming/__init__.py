@@ -9,3 +9,4 @@ from .incremental import (  # noqa: F401
     run_metrics,
     table_counts,
 )
+from .ledger import load_files, loaded, stream_into  # noqa: F401
