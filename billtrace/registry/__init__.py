@@ -2,6 +2,7 @@
 
 from . import (  # noqa: F401
     aggregates,
+    commits,
     documents,
     graph,
     incremental,

@@ -6,7 +6,7 @@ from billtrace.registry import REGISTRY
 
 SF = "/root/testdata/sf0.001"
 # These start jobs while they are built; their parts are covered by the other entries.
-EAGER = ("t10_similar", "t11", "i4", "i5", "s4", "s5", "s7", "s10", "s11", "d10", "x5")
+EAGER = ("t10_similar", "t11", "i4", "i5", "s4", "s5", "s6_d", "s7", "s10", "s11", "d10", "x5")
 
 
 def plan(spark, name):

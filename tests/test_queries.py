@@ -1,5 +1,9 @@
 """Every named query beside its SQL text, on whole tables."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from compare import compare, engine
 
@@ -29,3 +33,9 @@ def test_driver_contract(spark):
 
 def test_every_query_has_sql():
     assert all(q.sql is not None for q in REGISTRY.values())
+
+
+def test_names_are_known_without_a_session():
+    code = "import __spark_entry__ as e; print(len(e.queries()))"
+    root = Path(__file__).resolve().parent.parent
+    assert int(subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout) > 200
