@@ -17,6 +17,11 @@ from ..functions.texts import collapse_space, fingerprint
 from ..session import staged
 from .joins import attach
 
+SKETCH_WORDS = 8  # of 64 bits
+TILE = 512
+STAR_SHARE = 0.1  # rounds of stars go on while they add links for this share of the open texts
+
+
 def _bind(value: Column, body) -> Column:
     """``body(value)`` with ``value`` worked out once, not once for each use."""
     return F.transform(F.array(value), body)[0]
@@ -89,29 +94,80 @@ def _shared_prefixes(sets: DataFrame, num: int, den: int) -> DataFrame:
     return rows.join(shared, "key", "left_semi")
 
 
+def _marked(sets: DataFrame) -> DataFrame:
+    """(id, n, k0, k1, ..): size and sketch of each set. An element flips one bit of the sketch."""
+    columns = [
+        F.expr(f"aggregate(s, 0L, (a, x) -> a ^ if((shiftrightunsigned(x, 6) & {SKETCH_WORDS - 1}) = {w}, shiftleft(1L, cast(x & 63 as int)), 0L))").alias(f"k{w}")
+        for w in range(SKETCH_WORDS)
+    ]
+    return sets.select("id", F.size("s").alias("n"), *columns)
+
+
+def _close(a: str, b: str, num: int, den: int) -> Column:
+    """Whether sizes and sketches leave the threshold open: sets differ in at least as many elements as sketches in bits."""
+    col = lambda side, name: F.col(f"{side}{name}")
+    bits = sum((F.bit_count(col(a, f"k{w}").bitwiseXOR(col(b, f"k{w}"))) for w in range(SKETCH_WORDS)), F.lit(0))
+    sizes = F.least(col(a, "n"), col(b, "n")) * den >= F.greatest(col(a, "n"), col(b, "n")) * num
+    return sizes & (bits * (den + num) <= (col(a, "n") + col(b, "n")) * (den - num))
+
+
+def _named(df: DataFrame, side: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"{side}{c}") for c in df.columns])
+
+
+def _tiles(blocks: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): all pairs within a block that are in different clusters and may be similar.
+
+    A block is cut into parts of about ``TILE`` rows, and each two parts meet in a group of their own, so no
+    task has more than two parts of a block. What the sketches rule out never leaves the join.
+    """
+    parts = blocks.groupBy("key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("parts"))
+    rows = staged(attach(blocks, parts, ["key"], "inner").withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")), "tiles")
+    x = _named(rows.withColumn("other", F.explode(F.sequence(F.col("own"), F.col("parts") - 1))), "x_")
+    y = _named(rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("own")))), "y_")
+    place = (F.col("x_key") == F.col("y_key")) & (F.col("x_own") == F.col("y_other")) & (F.col("x_other") == F.col("y_own"))
+    once = (F.col("x_own") < F.col("y_own")) | (F.col("x_id") < F.col("y_id"))
+    met = x.join(y, place & once & (F.col("x_cluster") != F.col("y_cluster")) & _close("x_", "y_", num, den))
+    return met.select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct()
+
+
 def _linked_members(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """(id, cluster) of the ids that have a link."""
-    blocks, found, pivots = members.withColumn("cluster", F.col("id")), None, 1
-    while True:
-        counts = blocks.groupBy("key", "cluster").agg(F.count("*").alias("n"))
+    marks = _saved(_marked(sets.join(members.select("id").distinct(), "id", "left_semi")))
+    blocks, found = _saved(members.join(marks, "id").withColumn("cluster", F.col("id"))), None
+
+    def settle(pairs: DataFrame) -> tuple[DataFrame, int]:
+        scored = _scored(_saved(pairs), sets)
+        links = _saved(scored.filter(F.col("both") * den >= (F.col("na") + F.col("nb") - F.col("both")) * num).select("a", "b"))
+        n = links.count()
+        if found is not None and n == 0:
+            return found, 0
+        known = links if found is None else links.union(found.filter("id <> cluster").select("id", "cluster"))
+        return _saved(clusters(known)), n
+
+    def placed(rows: DataFrame) -> DataFrame:
+        """Rows of the blocks that hold several clusters of now, and the largest of these."""
+        if found is not None:
+            rows = rows.drop("cluster").join(found, "id", "left").withColumn("cluster", F.coalesce("cluster", "id"))
+        counts = rows.groupBy("key", "cluster").agg(F.count("*").alias("n"))
         largest = counts.groupBy("key").agg(F.max(F.struct("n", "cluster"))["cluster"].alias("largest"), F.count("*").alias("parts"))
-        blocks = _saved(blocks.join(largest.filter("parts > 1").drop("parts"), "key"))
-        if found is not None and blocks.isEmpty():
+        return _saved(attach(rows, largest.filter("parts > 1").drop("parts"), ["key"], "inner"))
+
+    while True:
+        blocks = placed(blocks)
+        open_ids = blocks.select("id").distinct().count()
+        if open_ids == 0 and found is not None:
             return found
-        place = F.row_number().over(Window.partitionBy("key").orderBy("id"))
-        chosen = blocks.filter("cluster <> largest").withColumn("__n", place).filter(F.col("__n") <= pivots)
-        chosen = _saved(chosen.select("key", F.col("id").alias("p"), F.col("cluster").alias("pc")))
-        met = blocks.join(chosen, "key").filter("cluster <> pc")
-        pairs = met.select(F.least("p", "id").alias("a"), F.greatest("p", "id").alias("b")).distinct()
-        scored = _scored(pairs, sets)
-        links = _saved(scored.filter(F.col("both") * den >= (F.col("na") + F.col("nb") - F.col("both")) * num).select("a", "b"))
-        if found is None:
-            found = _saved(clusters(links))
-        elif not links.isEmpty():
-            found = _saved(clusters(links.union(found.filter("id <> cluster").select("id", "cluster"))))
-        rest = blocks.drop("cluster", "largest").join(chosen.select("key", F.col("p").alias("id")), ["key", "id"], "left_anti")
-        blocks = rest.join(found, "id", "left").select("key", "id", F.coalesce("cluster", "id").alias("cluster"))
-        pivots *= 4
+        outside = blocks.filter("cluster <> largest").drop("largest")
+        pivots = _saved(outside.groupBy("key").agg(F.min_by(F.struct(*[c for c in outside.columns if c != "key"]), "id").alias("p")).select("key", "p.*"))
+        met = blocks.join(_named(pivots, "p_"), F.col("key") == F.col("p_key")).filter(F.col("cluster") != F.col("p_cluster"))
+        met = met.filter(_close("", "p_", num, den)).select(F.least("p_id", "id").alias("a"), F.greatest("p_id", "id").alias("b")).distinct()
+        found, joined = settle(met)
+        blocks = blocks.drop("largest").join(pivots.select("key", "id"), ["key", "id"], "left_anti")
+        if joined < STAR_SHARE * open_ids:
+            break
+    rest = placed(blocks).drop("largest")
+    return found if rest.isEmpty() else settle(_tiles(rest, num, den))[0]
 
 
 def similar_clusters(df: DataFrame, key: str, text: str, num: int = 80, den: int = 100, n: int = 3) -> DataFrame:
