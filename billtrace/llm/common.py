@@ -28,6 +28,18 @@ def texts_as_bytes(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
+def chunks(texts: list[bytes], size: int = 1 << 21) -> Iterator[tuple[int, int]]:
+    """Runs (start, end) of texts of at most ``size`` bytes together, or of one longer text; bounds what a step holds at a time."""
+    start, held = 0, 0
+    for i, text in enumerate(texts):
+        if i > start and held + len(text) > size:
+            yield start, i
+            start, held = i, 0
+        held += len(text)
+    if start < len(texts):
+        yield start, len(texts)
+
+
 def map_rows(df: DataFrame, schema: T.StructType, step: Callable[[Iterable[pa.RecordBatch]], Iterator[dict]]) -> DataFrame:
     """``mapInArrow`` for a step that yields columns as a dict of lists or arrays."""
     arrow = to_arrow_schema(schema)
@@ -64,4 +76,4 @@ def sample_per_class(df: DataFrame, label: str, key: str, per_class: int) -> Dat
     return df.filter(chosen)
 
 
-__all__ = ["discard", "field", "map_rows", "ready", "sample_per_class", "scratch_path", "staged", "texts_as_bytes"]
+__all__ = ["chunks", "discard", "field", "map_rows", "ready", "sample_per_class", "scratch_path", "staged", "texts_as_bytes"]

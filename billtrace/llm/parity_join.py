@@ -8,7 +8,7 @@ may hold a smaller partner. A block is sent as a 64-bit code of its bits, never
 
 What meets in a block is a candidate only, and every candidate is settled, in two ways. First come
 rounds of stars: each block whose members are not yet in one component checks one of them against
-those of other components, by exact intersection. That joins n near copies with about n checks.
+those of other components, by longer sketches first and, where these leave it open, by exact intersection. That joins n near copies with about n checks.
 When a round joins little, what is left (texts that share blocks but are not similar, say) is
 compared in full, but by sketches: tasks take tiles of a block and look for pairs of different
 components whose sketches differ in no more bits than allowed; only these are intersected. First
@@ -24,22 +24,23 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.similarity import clusters
-from .common import map_rows, scratch_path, staged, texts_as_bytes
+from .common import chunks, discard, field, map_rows, scratch_path, staged, texts_as_bytes
 
 BLOCK_BITS = 16  # a block has 2 ** 16 bits
 BAND_GROWTH = 1.5
 MAX_KNOWN_WORDS = 300_000
 MAX_SEEN = 500_000
-SKETCH_BITS = 256  # at least
+SKETCH_BITS = 512  # at least
 PAIRS_PER_PART = 500
 TILE = 1024
 STAR_SHARE = 0.1  # rounds of stars go on while they join this share of what is open
@@ -64,6 +65,9 @@ class Shingler:
         self.known: dict[bytes, int] = {}
 
     def sets(self, texts: list[bytes]) -> list[np.ndarray]:
+        return [own for a, b in chunks(texts) for own in self._some(texts[a:b])]
+
+    def _some(self, texts: list[bytes]) -> list[np.ndarray]:
         known, n = self.known, self.n
         if len(known) > MAX_KNOWN_WORDS:
             known.clear()
@@ -143,41 +147,34 @@ def block_keys(own: np.ndarray, bands: Bands) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def _documents(df: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
-    """(id, node, n_shingles) of each row; the node is NULL without words."""
-    kind = T.StructType([T.StructField("node", T.LongType()), T.StructField("n_shingles", T.LongType())])
-
-    @F.arrow_udf(kind)
-    def describe(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        shingler = Shingler(n)
-        for text in batches:
-            sets = shingler.sets(texts_as_bytes(text))
-            yield pa.StructArray.from_arrays([pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())], ["node", "n_shingles"])
-
-    return df.select(F.col(id_col).alias("id"), describe(F.col(text_col)).alias("d")).select("id", "d.node", "d.n_shingles")
-
-
 _MEMBER = T.StructType([T.StructField("key", T.LongType()), T.StructField("node", T.LongType())])
 
 
-def _block_rows(df: DataFrame, text_col: str, n: int, num: int, den: int) -> DataFrame:
-    """(key, node) for every block; a task sends a set it has met before only once."""
+def _documents(df: DataFrame, id_col: str, text_col: str, n: int, num: int, den: int) -> DataFrame:
+    """(id, node, n_shingles, sketch, keys) of each row, in one pass over the texts.
+
+    The node is NULL without words. ``keys`` has the codes of all blocks; a task gives those, and the
+    sketch, of a set it has met before only once.
+    """
+    schema = T.StructType([field(df, id_col, "id"), *T._parse_datatype_string("node long, n_shingles long, sketch binary, keys array<long>")])
 
     def step(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
         shingler, bands, seen = Shingler(n), Bands(num, den), set()
         for batch in batches:
             if len(seen) > MAX_SEEN:
                 seen.clear()
-            keys, nodes = [], []
-            for own in shingler.sets(texts_as_bytes(batch.column("text"))):
-                if len(own) and (node := node_of(own)) not in seen:
-                    seen.add(node)
-                    keys.append(block_keys(own, bands))
-                    nodes.append(np.full(len(keys[-1]), node, np.int64))
-            if keys:
-                yield {"key": np.concatenate(keys).view(np.int64), "node": np.concatenate(nodes)}
+            sets = shingler.sets(texts_as_bytes(batch.column(1)))
+            nodes, keys, sketches = [node_of(s) if len(s) else None for s in sets], [], []
+            for node, own in zip(nodes, sets, strict=True):
+                fresh = node is not None and node not in seen
+                seen.add(node)
+                keys.append(block_keys(own, bands) if fresh else np.zeros(0, np.uint64))
+                sketches.append(_sketch(own) if fresh else None)
+            ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
+            flat = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
+            yield {"id": batch.column(0), "node": nodes, "n_shingles": [len(s) for s in sets], "sketch": sketches, "keys": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))}
 
-    return map_rows(df.select(F.col(text_col).alias("text")), _MEMBER, step)
+    return map_rows(df.select(id_col, text_col), schema, step)
 
 
 def _shared(rows: DataFrame) -> DataFrame:
@@ -207,60 +204,127 @@ def _shared(rows: DataFrame) -> DataFrame:
 
 
 def _sketch(own: np.ndarray) -> bytes:
-    """Bit sketch of a set for comparison, about half a bit for each element. Half a sketch is the fold of the whole."""
+    """Bit sketch of a set for comparison, a bit or two for each element. Half a sketch is the fold of the whole.
+
+    Two unrelated sets of n elements then differ in about half of n bits, far more than similar ones may.
+    """
     bits = SKETCH_BITS
-    while bits < len(own) // 2:
+    while bits < len(own):
         bits *= 2
     at = ((own >> _U(8)) & _U(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
+class _Tables:
+    """Tables of this run, bucketed by node so that joins on it never shuffle them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.names = spark, []
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def write(self, rows: DataFrame, label: str) -> str:
+        self.names.append(f"{label}_{uuid.uuid4().hex}")
+        writer = rows.repartition(self.buckets, "node").dropDuplicates(["node"]).write.bucketBy(self.buckets, "node").sortBy("node")
+        writer.option("path", scratch_path(self.spark, label)).saveAsTable(self.names[-1])
+        return self.names[-1]
+
+    def drop(self) -> None:
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 class _Sets:
-    """(node, n, sketch, s) of the nodes that share a block, bucketed by node so that joins never shuffle them."""
+    """(node, n, sketch) of the nodes that share a block, and the sets of those that were asked for.
 
-    def __init__(self, df: DataFrame, wanted: DataFrame, id_col: str, text_col: str, n: int):
-        self.spark = df.sparkSession
-        self.name = f"sets_{uuid.uuid4().hex}"
-        kinds = {"node": T.LongType(), "n": T.IntegerType(), "sketch": T.BinaryType(), "s": T.ArrayType(T.LongType())}
+    Sketches settle most pairs, so few sets are ever needed; each is made once, when a pair first needs it.
+    """
 
-        @F.arrow_udf(T.StructType([T.StructField(k, v) for k, v in kinds.items()]))
+    def __init__(self, df: DataFrame, nodes: DataFrame, id_col: str, text_col: str, n: int):
+        self.tables, self.nodes, self.n = _Tables(df.sparkSession), nodes, n
+        self.texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+        self.sketches = [self.tables.write(nodes.select("node", "n", "sketch"), "sketches")]
+        self.sets: list[str] = []
+
+    def need(self, wanted: DataFrame) -> None:
+        """Make the sets of nodes that have none yet."""
+        spark, n = self.tables.spark, self.n
+        fresh = wanted.distinct()
+        for name in self.sets:
+            fresh = fresh.join(spark.table(name).select("node"), "node", "left_anti")
+        rows = staged(self.nodes.select("id", "node").join(fresh, "node", "left_semi").select(F.col("id").alias("__w"), F.col("node").alias("__node")), "wanted")
+        if rows.isEmpty():
+            return
+
+        @F.arrow_udf(T._parse_datatype_string("node long, s array<long>"))
         def describe(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            shingler = Shingler(n)
+            shingler, seen = Shingler(n), set()
             for text in batches:
+                if len(seen) > MAX_SEEN:
+                    seen.clear()
                 sets = shingler.sets(texts_as_bytes(text))
-                offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+                nodes = [node_of(s) if len(s) else None for s in sets]
+                for i, node in enumerate(nodes):
+                    if node in seen:
+                        nodes[i], sets[i] = None, sets[i][:0]
+                    seen.add(node)
+                offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
                 values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-                nodes = pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())
-                yield pa.StructArray.from_arrays(
-                    [nodes, pa.array([len(s) for s in sets], pa.int32()), pa.array([_sketch(s) for s in sets], pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], [*kinds]
-                )
-
-        texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        texts = texts.join(wanted.select(F.col("id").alias("__w"), F.col("node").alias("__node")), F.col("id").eqNullSafe(F.col("__w")))
-        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        rows = texts.select("text", F.col("__node").alias("node")).repartition(buckets, "node")
-        rows = rows.select("node", describe("text").alias("d")).filter("node = d.node").select("d.*")
-        writer = rows.write.bucketBy(buckets, "node").sortBy("node").option("path", scratch_path(self.spark, "sets"))
-        writer.saveAsTable(self.name)
-
-    def of(self, node: str, *columns: str) -> DataFrame:
-        return self.spark.table(self.name).select(F.col("node").alias(node), *columns)
+                yield pa.StructArray.from_arrays([pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], ["node", "s"])
+
+        texts = self.texts.join(rows, F.col("id").eqNullSafe(F.col("__w"))).select("__node", describe("text").alias("d"))
+        # Rows that share an id may have other texts; rows that repeat come once.
+        self.sets.append(self.tables.write(texts.filter(F.col("__node") == F.col("d.node")).select("d.*"), "sets"))
+
+    def join(self, rows: DataFrame, node: str, *columns: str, prefix: str = "") -> DataFrame:
+        """Rows with n and sketch, or the set, of the node in a column."""
+        names = self.sets if columns == ("s",) else self.sketches
+        parts = [rows.join(self.tables.spark.table(name).select(F.col("node").alias(node), *[F.col(c).alias(f"{prefix}{c}") for c in columns]), node) for name in names]
+        return reduce(DataFrame.union, parts)
 
     def drop(self) -> None:
-        self.spark.sql(f"DROP TABLE {self.name}")
+        self.tables.drop()
 
 
-def _linked(pairs: DataFrame, sets: _Sets, num: int, den: int) -> DataFrame:
-    """The pairs (p, z) whose exact similarity reaches the threshold, written.
+def _met(pairs: DataFrame, sets: _Sets, *columns: str) -> DataFrame:
+    """Pairs (p, z) with columns of both: ``p_n`` and ``z_n``, say.
 
-    The set of a ``p`` with many pairs is sent once for every ``PAIRS_PER_PART`` of them.
+    What a ``p`` with many pairs brings is sent once for every ``PAIRS_PER_PART`` of them.
     """
-    pairs = staged(pairs, "pairs")
     parts = staged(pairs.groupBy("p").agg(F.ceil(F.count("*") / PAIRS_PER_PART).cast("int").alias("parts")), "parts")
     salted = pairs.join(parts, "p").withColumn("part", F.pmod(F.xxhash64("z"), F.col("parts")).cast("int")).drop("parts")
-    of_z = salted.join(sets.of("z", F.col("s").alias("sz")), "z")
-    of_p = parts.join(sets.of("p", F.col("s").alias("sp")), "p").select("p", "sp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    scored = of_z.join(of_p, ["p", "part"]).select("p", "z", F.size("sp").alias("a"), F.size("sz").alias("b"), F.size(F.array_intersect("sp", "sz")).cast("long").alias("i"))
+    of_z = sets.join(salted, "z", *columns, prefix="z_")
+    of_p = sets.join(parts, "p", *columns, prefix="p_").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return of_z.join(of_p.drop("parts"), ["p", "part"])
+
+
+def _open_pairs(pairs: DataFrame, sets: _Sets, num: int, den: int) -> DataFrame:
+    """The pairs whose sketches leave the threshold open: they differ in no more bits than the sets may in elements."""
+
+    @F.arrow_udf("long")
+    def differ(p: pa.Array, z: pa.Array) -> pa.Array:
+        out = []
+        for both in zip(p.to_pylist(), z.to_pylist(), strict=True):
+            a, b = _folded(list(both))
+            out.append(int(np.bitwise_count(a ^ b).sum()))
+        return pa.array(out, pa.int64())
+
+    bits = differ("p_sketch", "z_sketch") * (den + num)
+    return _met(pairs, sets, "n", "sketch").filter(bits <= (F.col("p_n") + F.col("z_n")).cast("long") * (den - num)).select("p", "z")
+
+
+def _linked(pairs: DataFrame, sets: _Sets, num: int, den: int, sketched: bool = False) -> DataFrame:
+    """The pairs (p, z) whose exact similarity reaches the threshold, written.
+
+    Sketches decide first, unless they have (``sketched``), so that sets are sent for likely links only.
+    """
+    pairs = staged(pairs, "pairs")
+    if not sketched:
+        pairs = staged(_open_pairs(pairs, sets, num, den), "open")
+    sets.need(pairs.select(F.explode(F.array("p", "z")).alias("node")))
+    if not sets.sets:
+        return pairs.limit(0)
+    both = F.size(F.array_intersect("p_s", "z_s")).cast("long")
+    scored = _met(pairs, sets, "s").select("p", "z", F.size("p_s").alias("a"), F.size("z_s").alias("b"), both.alias("i"))
     good = scored.filter(F.col("i") * den >= (F.col("a") + F.col("b") - F.col("i")) * num)
     return staged(good.select("p", "z").distinct(), "links")
 
@@ -295,7 +359,7 @@ def _close_pairs(blocks: DataFrame, sets: _Sets, num: int, den: int, forest: boo
     ``forest`` a task keeps only pairs that connect what its tile's pairs connect.
     """
     sizes = staged(blocks.groupBy("key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("parts")), "tiles")
-    rows = blocks.join(sizes, "key").join(sets.of("node", "n", "sketch"), "node")
+    rows = sets.join(blocks.join(sizes, "key"), "node", "n", "sketch")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rows = rows.select("key", F.least("own", "other").alias("t1"), F.greatest("own", "other").alias("t2"), "node", "component", "n", "sketch")
@@ -362,7 +426,7 @@ def _resolve(members: DataFrame, sets: _Sets, num: int, den: int) -> DataFrame:
         blocks = staged(_open_blocks(blocks).drop("largest"), "blocks")
         if blocks.isEmpty():
             break
-        links = _linked(_close_pairs(blocks, sets, num, den, forest), sets, num, den)
+        links = _linked(_close_pairs(blocks, sets, num, den, forest), sets, num, den, sketched=True)
         component = _joined(component, links)
         blocks = _placed(blocks, component)
     return component
@@ -394,14 +458,20 @@ def similarity_components(df: DataFrame, id_col: str = "doc_id", text_col: str =
     ids alone has a NULL id. Repeated rows are returned as often as they come. Elements and sets
     are told apart by 64-bit hashes. Runs jobs: one for the sets, one for the blocks, then rounds.
     """
-    documents = staged(_documents(df, id_col, text_col, n), "documents")
-    nodes = documents.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("id").alias("id"))
+    keyed = scratch_path(df.sparkSession, "keyed")
+    described = _documents(df, id_col, text_col, n, num, den)
+    described.write.parquet(keyed)
+    described = df.sparkSession.read.schema(described.schema).parquet(keyed)
+    documents = staged(described.select("id", "node", "n_shingles"), "documents")
+    nodes = described.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("id").alias("id"), F.max("n_shingles").cast("int").alias("n"), F.max("sketch").alias("sketch"))
     nodes = staged(nodes, "nodes")
-    members = staged(_shared(_block_rows(df, text_col, n, num, den)), "members")
-    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi")
-    sets = _Sets(df, wanted, id_col, text_col, n)
-    component = _resolve(members, sets, num, den)
-    sets.drop()
+    members = staged(_shared(described.select(F.explode("keys").alias("key"), "node")), "members")
+    discard(df.sparkSession, keyed)
+    sets = _Sets(df, nodes.join(members.select("node").distinct(), "node", "left_semi"), id_col, text_col, n)
+    try:
+        component = _resolve(members, sets, num, den)
+    finally:
+        sets.drop()
     known = nodes.join(component, "node", "left").select("node", "id", F.coalesce("component", "node").alias("component"))
     smallest = known.groupBy("component").agg(F.min("id").alias("component_id"))
     ids = staged(known.join(smallest, "component").select("node", "component_id"), "component_ids")
