@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import sample_per_class, texts_as_bytes
+from .common import chunks, sample_per_class, texts_as_bytes
 
 WINDOW = 48
 STRIDE = 32
@@ -32,6 +32,10 @@ GRAMS = (3, 4, 5)
 DOCS_PER_CLASS = 800  # bound of the training sample
 EPOCHS = 6  # at least; a small sample gets more, up to LEAST_STEPS batches or MOST_EPOCHS
 LEAST_STEPS, MOST_EPOCHS, BATCH = 250, 40, 128
+# Against learning documents by heart, where class 1 has few of them: it counts up to so often, words are replaced
+# by others, words of one document alone are blanked, and in the first part of the epochs a document of
+# class 1 shows any of its windows. With more than FEW such documents each of these fades in proportion.
+FEW, MOST_REPEATS, REPLACED, ANY_WINDOW = 40, 4, 0.2, 0.6
 THRESHOLD = 0.7
 MAX_KNOWN_WORDS = 200_000
 BLOCK = 4096  # windows in one pass of the network
@@ -53,9 +57,9 @@ class Features:
 
     @classmethod
     def of(cls, words: list[bytes]) -> Features:
-        """N-grams include the borders of a word. Of very long words, which are junk, 64 bytes count."""
-        text = np.frombuffer(b"".join(b"^" + w[:64] + b"$" for w in words), np.uint8).astype(np.int64)
-        size = np.array([min(len(w), 64) + 2 for w in words], np.int64)
+        """N-grams are those of the whole word and include its borders."""
+        text = np.frombuffer(b"".join(b"^" + w + b"$" for w in words), np.uint8).astype(np.int64)
+        size = np.array([len(w) + 2 for w in words], np.int64)
         last = np.repeat(np.cumsum(size), size)  # where the word of each byte ends
         owner, at = np.repeat(np.arange(len(words)), size), np.arange(len(text))
         rows, owners = [], []
@@ -252,8 +256,10 @@ class Adam:
 def fit(texts: list[bytes], labels: list[int], seed: int = 7) -> Network:
     """Train on labelled documents, of which only the label of the whole is known.
 
-    Each epoch takes the worst window of every document, found with the network so far, and for
-    documents of class 0 another one besides; the first epoch takes all windows of short documents.
+    Each epoch takes windows of every document: for class 0 the worst one, found with the network so far, and
+    another; for class 1 any ones at first and the worst one later. The first epoch takes all windows
+    of short documents. A word is replaced now and then by one of class 0, so that a score rests on
+    what documents of class 1 share and not on the company it keeps.
     """
     g, words, net = np.random.default_rng(seed), Words(), Network(seed)
     cut = [windows_of(words.of(words_of(t))) for t in texts]
@@ -263,24 +269,36 @@ def fit(texts: list[bytes], labels: list[int], seed: int = 7) -> Network:
     first = np.cumsum([0, *map(len, cut)])
     windows, owner = np.concatenate(cut), np.repeat(np.arange(len(cut)), np.diff(first))
     y = np.array(labels, np.float32)
+    bad_rows, good_rows = int((y == 1).sum()), int((y == 0).sum())
+    fading = min(1.0, FEW / max(bad_rows, 1))
+    repeats = 1 + round((min(MOST_REPEATS, max(1, good_rows // max(bad_rows, 1))) - 1) * fading)
+    seen_in = np.bincount(np.concatenate([np.unique(c) for c in cut]), minlength=len(features.words))
+    windows[(seen_in[windows] < 2) & (g.random(windows.shape) < fading)] = 0
+    harmless = windows[y[owner] == 0]
+    harmless = harmless[harmless > 0]
+    some_of_each = lambda: first[:-1] + (g.random(len(cut)) * np.diff(first)).astype(np.int64)
     adam = Adam(net.p)
     epochs = min(MOST_EPOCHS, max(EPOCHS, LEAST_STEPS * BATCH // (2 * len(cut))))
     for epoch in range(epochs):
         if epoch:
             tables = net.gates(net.embed(features)[0])
             logit = np.concatenate([net.forward(tables, windows[i : i + BLOCK]) for i in range(0, len(windows), BLOCK)])
-            order = np.lexsort((-logit, owner))
-            worst = order[first[:-1]]
-            other = first[:-1] + (g.random(len(cut)) * np.diff(first)).astype(np.int64)
-            pick = np.concatenate([worst, other[y == 0]])
+            worst = np.lexsort((-logit, owner))[first[:-1]]
+            bad = [(some_of_each() if epoch < ANY_WINDOW * fading * epochs else worst)[y == 1] for _ in range(repeats)]
+            pick = np.concatenate([*bad, worst[y == 0], some_of_each()[y == 0]])
         else:
             pick = np.flatnonzero(np.diff(first)[owner] <= 12)
             pick = pick if len(pick) else np.arange(len(windows))
+            pick = np.concatenate([pick, *[pick[y[owner[pick]] == 1]] * (repeats - 1)])
         adam.rate = 0.02 if epoch < epochs - 2 else 0.005
         g.shuffle(pick)
         for i in range(0, len(pick), BATCH):
             some = pick[i : i + BATCH]
-            adam.step(net.gradients(features, windows[some], y[owner[some]]))
+            shown = windows[some]
+            if len(harmless):
+                other = (g.random(shown.shape) < REPLACED * fading) & (shown > 0)
+                shown[other] = g.choice(harmless, other.sum())
+            adam.step(net.gradients(features, shown, y[owner[some]]))
     return net
 
 
@@ -296,6 +314,9 @@ class Scorer:
         self.tables = [np.zeros((0, 3 * HIDDEN), np.float32)] * 2
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
+        return np.concatenate([np.zeros(0), *[self._some(texts[a:b]) for a, b in chunks(texts)]])
+
+    def _some(self, texts: list[bytes]) -> np.ndarray:
         if len(self.words.numbers) > MAX_KNOWN_WORDS:
             self._clear()
         words = [words_of(t) for t in texts]
