@@ -2,9 +2,10 @@
 
 A sketch has K blocks of bits; every shingle flips one bit of one block. Two sketches differ in at
 most as many bits as their sets differ in elements. A pair at the threshold differs in at most
-``d`` elements, so of K = d + 1 blocks at least one is equal (pigeonhole). K must be the same on
-both sides, so sets are sketched per band of sizes: in their own band, and in each lower band that
-may hold a smaller partner. A block is sent as a 64-bit code of its bits, never as the bits.
+``d`` elements, so of K > d blocks at least K - d are equal (pigeonhole). K exceeds d by more than the
+empty blocks that a set usually has, so one of the equal ones holds elements, and empty
+blocks, in which strangers would meet, needn't be sent. K must be the same on both sides, so sets are
+sketched per band of sizes: in their own band, and in each lower band that may hold a smaller partner. A block is sent as a 64-bit code of its bits, never as the bits.
 
 What meets in a block is a candidate only, and every candidate is settled, in two ways. First come
 rounds of stars: each block whose members are not yet in one component checks one of them against
@@ -36,8 +37,9 @@ from pyspark.sql import types as T
 from ..operators.similarity import clusters
 from .common import chunks, discard, field, map_rows, scratch_path, staged, texts_as_bytes
 
-BLOCK_BITS = 16  # a block has 2 ** 16 bits
+BLOCK_BITS = 31  # a block has 2 ** 31 bits, of which codes alone are kept
 BAND_GROWTH = 1.5
+SPARE_SHARE = 4  # blocks beyond those that may differ: one for so many of these
 MAX_KNOWN_WORDS = 300_000
 MAX_SEEN = 500_000
 SKETCH_BITS = 512  # at least
@@ -114,9 +116,12 @@ class Bands:
         """Most elements in which sets of these sizes may differ at the threshold."""
         return (a + b) * (self.den - self.num) // (self.den + self.num)
 
-    def blocks(self, j: int) -> int:
+    def blocks(self, j: int) -> tuple[int, int]:
+        """(blocks of a sketch, how many of them are equal in a pair at the threshold at least)."""
         largest = self._edge(j + 1) - 1
-        return self.difference(largest, largest * self.den // self.num) + 1
+        d = self.difference(largest, largest * self.den // self.num)
+        spare = 1 + -(-d // SPARE_SHARE)
+        return d + spare, spare
 
     def of(self, size: int) -> list[int]:
         """The set's own band and the lower ones that may hold a partner."""
@@ -132,18 +137,22 @@ class Bands:
 
 
 def block_keys(own: np.ndarray, bands: Bands) -> np.ndarray:
-    """Codes of all blocks of a set's sketches. Sets that only equal sets can match have none."""
+    """Codes of the blocks of a set's sketches that hold elements. Sets that only equal sets can match have none.
+
+    Two sets that have too many empty blocks, both of them, may agree in those alone; such a set gives these as well.
+    """
     out = []
     codes = _mix((own & _U((1 << BLOCK_BITS) - 1)) + _U(1))  # a code for each bit
     for j in bands.of(len(own)):
-        k = bands.blocks(j)
+        k, spare = bands.blocks(j)
         if k == 1:
             continue
         block = ((own >> _U(32)) * _U(k)) >> _U(32)  # ascending, as the set is
         first = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1])
         parity = np.zeros(k, np.uint64)
         parity[block[first].astype(np.int64)] = np.bitwise_xor.reduceat(codes, first)
-        out.append(_mix(parity ^ _mix(np.arange(k, dtype=np.uint64) + _U(j << 40) + _U(1))))
+        keys = _mix(parity ^ _mix(np.arange(k, dtype=np.uint64) + _U(j << 40) + _U(1)))
+        out.append(keys[block[first].astype(np.int64)] if k - len(first) < spare else keys)
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
