@@ -70,7 +70,7 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of each document that lie in a repeated string of 400 bytes."""
     found = suffix_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
-    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256", (F.col("n_removed") > 0).alias("repeats"))
 
 
 @_query
@@ -133,15 +133,14 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     path = scratch_path(spark, "warc")
     warc.write_captures(pages, path)
-    captures = warc.assemble(warc.read_records(spark, path, payload=False))
+    captures = warc.originals(warc.assemble(warc.read_records(spark, path, payload=False)))
     kind = pages.schema["page_id"].dataType
-    own = lambda name: F.col("metadata.fields")[name]
     return captures.select(
-        own("page-id").cast(kind).alias("page_id"),
-        own("payload-bytes").cast("long").alias("payload_bytes"),
-        F.coalesce("response.payload_digest", "response.declared_digest").alias("payload_digest"),
-        F.col("response.kind").alias("record_type"),
-        own("refers-to-page").cast(kind).alias("refers_to"),
+        F.col("page").cast(kind).alias("page_id"),
+        F.col("bytes").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+        F.col("kind").alias("record_type"),
+        F.col("refers_to").cast(kind).alias("refers_to"),
     )
 
 

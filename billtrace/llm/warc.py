@@ -21,10 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.joins import attach
-from .common import map_rows
+from .common import map_rows, staged
 
 CRLF = "\r\n"
 MIN_REVISIT_BYTES = 100
+FILE_BYTES = 1 << 29  # before compression
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 RECORD = T.StructType(
@@ -37,15 +38,16 @@ RECORD = T.StructType(
         T.StructField("declared_digest", T.StringType()),
         T.StructField("head", T.StringType()),
         T.StructField("payload", T.BinaryType()),
+        T.StructField("payload_bytes", T.LongType()),
         T.StructField("payload_digest", T.StringType()),
         T.StructField("fields", T.MapType(T.StringType(), T.StringType())),
     ]
 )
 
 
-def _uuid(kind: str, page: Column, digest: Column) -> Column:
-    """Record number that follows from the page and its payload, so that others can name it."""
-    h = F.sha2(F.concat_ws("|", F.lit(kind), F.coalesce(page.cast("string"), F.lit("null")), digest), 256)
+def _uuid(kind: str, page: Column, digest: Column, copy: Column) -> Column:
+    """Record number that follows from the page, its payload and which copy it is (0: the first), so that others can name it."""
+    h = F.sha2(F.concat_ws("|", F.lit(kind), F.coalesce(page.cast("string"), F.lit("null")), digest, copy.cast("string")), 256)
     parts = [F.substring(h, i, n) for i, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
@@ -60,11 +62,13 @@ def _record(headers: list[tuple[str, Column]], block: Column) -> Column:
 def write_captures(
     pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", date: str = "2025-01-01T00:00:00Z", per_file: int = 1000
 ) -> None:
-    """Write one transaction per page below ``path``.
+    """Write one transaction per row of ``pages`` below ``path``.
 
     Of pages with equal payloads of ``MIN_REVISIT_BYTES`` and more, the one with the smallest id is
     the response and the others revisit it. NULL html is an empty payload; a NULL url leaves out
-    the header; a NULL id never is the response of others.
+    the header; a NULL id never is the response of others. Rows that repeat an id and a payload are
+    captures of their own: they are numbered, for which the rows are written once more. A file
+    holds fewer captures where payloads are so long that it would grow beyond ``FILE_BYTES``.
     """
     html = F.coalesce(F.col(html_col), F.lit(""))
     rows = pages.select(
@@ -73,13 +77,24 @@ def write_captures(
         html.alias("html"),
         F.octet_length(html).alias("size"),
         F.sha2(html, 256).alias("digest"),
+        F.lit(0).cast("long").alias("copy"),
     )
+    known = rows.groupBy("digest", "page").agg(F.count("*").alias("n"), F.max("size").alias("size"))
+    repeats, longest = known.agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.max("size"), F.lit(0))).first()
+    per_file = max(1, min(per_file, FILE_BYTES // (longest + 2000)))
+    if repeats > 1:
+        rows = staged(rows.withColumn("number", F.monotonically_increasing_id()), "pages")
+        least = rows.groupBy("digest", "page").agg(F.min("number").alias("least"), F.count("*").alias("n")).filter("n > 1")
+        least = staged(least.select(F.col("digest").alias("__d"), F.col("page").alias("__p"), "least"), "least")
+        rows = rows.join(least, (F.col("digest") == F.col("__d")) & F.col("page").eqNullSafe(F.col("__p")), "left")
+        copy = F.when(F.col("number") > F.col("least"), F.col("number")).otherwise(0)
+        rows = rows.select("page", "url", "html", "size", "digest", copy.alias("copy"))
     long_enough = F.col("size") >= MIN_REVISIT_BYTES
     firsts = rows.filter(long_enough).groupBy("digest").agg(F.min("page").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     rows = attach(rows, firsts, ["digest"])
-    page, url, digest, size = (F.col(c) for c in ("page", "url", "digest", "size"))
+    page, url, digest, size, copy = (F.col(c) for c in ("page", "url", "digest", "size", "copy"))
     is_revisit = long_enough & F.col("first").isNotNull() & ~page.eqNullSafe(F.col("first"))
-    own, date_header = _uuid("response", page, digest), ("WARC-Date", F.lit(date))
+    own, date_header = _uuid("response", page, digest, copy), ("WARC-Date", F.lit(date))
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), size.cast("string"), F.lit(CRLF * 2))
     response = _record(
         [
@@ -89,7 +104,7 @@ def write_captures(
             ("WARC-Target-URI", url),
             ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), digest)),
             ("WARC-Profile", F.when(is_revisit, REVISIT_PROFILE)),
-            ("WARC-Refers-To", F.when(is_revisit, _uuid("response", F.col("first"), digest))),
+            ("WARC-Refers-To", F.when(is_revisit, _uuid("response", F.col("first"), digest, F.lit(0)))),
             ("Content-Type", F.lit("application/http; msgtype=response")),
         ],
         F.when(is_revisit, http).otherwise(F.concat(http, F.col("html"))),
@@ -97,17 +112,12 @@ def write_captures(
     host = F.regexp_extract(url, r"^[a-z]+://([^/?#]+)", 1)
     target = F.regexp_replace(url, r"^[a-z]+://[^/?#]+", "")
     request = _record(
-        [("WARC-Type", F.lit("request")), ("WARC-Record-ID", _uuid("request", page, digest)), date_header, ("WARC-Target-URI", url), ("WARC-Concurrent-To", own), ("Content-Type", F.lit("application/http; msgtype=request"))],
+        [("WARC-Type", F.lit("request")), ("WARC-Record-ID", _uuid("request", page, digest, copy)), date_header, ("WARC-Target-URI", url), ("WARC-Concurrent-To", own), ("Content-Type", F.lit("application/http; msgtype=request"))],
         F.concat(F.lit("GET "), F.coalesce(target, F.lit("/")), F.lit(f" HTTP/1.1{CRLF}Host: "), F.coalesce(host, F.lit("")), F.lit(CRLF * 2)),
     )
-    fields = F.concat_ws(
-        CRLF,
-        F.concat(F.lit("page-id: "), page.cast("string")),
-        F.concat(F.lit("payload-bytes: "), size.cast("string")),
-        F.concat(F.lit("refers-to-page: "), F.when(is_revisit, F.col("first").cast("string"))),
-    )
+    fields = F.concat(F.lit("page-id: "), F.coalesce(page.cast("string"), F.lit("")))
     metadata = _record(
-        [("WARC-Type", F.lit("metadata")), ("WARC-Record-ID", _uuid("metadata", page, digest)), date_header, ("WARC-Target-URI", url), ("WARC-Concurrent-To", own), ("Content-Type", F.lit("application/warc-fields"))],
+        [("WARC-Type", F.lit("metadata")), ("WARC-Record-ID", _uuid("metadata", page, digest, copy)), date_header, ("WARC-Target-URI", url), ("WARC-Concurrent-To", own), ("Content-Type", F.lit("application/warc-fields"))],
         fields,
     )
     end = CRLF * 2  # closes each record; the writer adds the last
@@ -140,7 +150,7 @@ def parse_records(data: bytes) -> Iterator[dict]:
             head, _, body = block.partition(b"\r\n\r\n")
             out["head"] = head.decode(errors="replace")
             if kind == "response":
-                out["payload"], out["payload_digest"] = body, hashlib.sha256(body).hexdigest()
+                out["payload"], out["payload_bytes"], out["payload_digest"] = body, len(body), hashlib.sha256(body).hexdigest()
         yield out
 
 
@@ -172,11 +182,11 @@ def read_records(spark: SparkSession, path: str, payload: bool = True) -> DataFr
 def assemble(records: DataFrame) -> DataFrame:
     """One nested row per capture, joined through the concurrent-to identifiers.
 
-    Captures without a request or metadata record have NULL there. Records that repeat (equal
-    rows in the input of ``write_captures``) count once.
+    Captures without a request or metadata record have NULL there. A record that is read twice, from
+    two copies of a file, counts once. Other columns of ``records`` are ignored.
     """
     main = records.filter(F.col("kind").isin("response", "revisit")).select(
-        "record_id", "uri", F.struct("kind", "refers_to", "declared_digest", "head", "payload", "payload_digest").alias("response")
+        "record_id", "uri", F.struct("kind", "refers_to", "declared_digest", "head", "payload", "payload_bytes", "payload_digest").alias("response")
     )
     other = records.filter(F.col("concurrent_to").isNotNull())
 
@@ -187,3 +197,27 @@ def assemble(records: DataFrame) -> DataFrame:
 
     main = main.groupBy("record_id").agg(F.any_value("uri").alias("uri"), F.any_value("response").alias("response"))
     return main.join(part("request", "request"), "record_id", "left").join(part("metadata", "metadata"), "record_id", "left")
+
+
+def originals(captures: DataFrame) -> DataFrame:
+    """Each capture's record_id, page, kind, and the digest and size of its full payload as read, that of a revisit
+    through WARC-Refers-To. ``refers_to`` is the page of the response, NULL for others.
+
+    ``captures`` is written first, narrow, as it is read twice. A revisit of what is not there has
+    its declared digest, and no size.
+    """
+    response = F.col("response")
+    own = captures.select(
+        "record_id",
+        F.nullif(F.col("metadata.fields")["page-id"], F.lit("")).alias("page"),
+        response["kind"].alias("kind"),
+        F.when(response["kind"] == "revisit", response["refers_to"]).alias("original"),
+        F.coalesce(response["payload_digest"], response["declared_digest"]).alias("digest"),
+        F.when(response["kind"] == "response", response["payload_bytes"]).alias("bytes"),
+    )
+    own = staged(own, "captures")
+    wanted = own.filter(F.col("original").isNotNull()).select(F.col("original").alias("record_id")).distinct()
+    found = own.filter("kind = 'response'").join(wanted, "record_id", "left_semi")
+    found = found.select(F.col("record_id").alias("original"), F.col("page").alias("refers_to"), F.col("bytes").alias("__bytes"), F.col("digest").alias("__digest"))
+    both = attach(own, found, ["original"])
+    return both.select("record_id", "page", "kind", F.coalesce("__digest", "digest").alias("digest"), F.coalesce("bytes", "__bytes").alias("bytes"), "refers_to")
