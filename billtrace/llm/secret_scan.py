@@ -29,7 +29,8 @@ SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.Struc
 _ASSIGN = re.compile(rb"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([a-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 _HEX = re.compile(rb"[0-9a-f]{24,}")
-_TOKEN = re.compile(rb"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+# The first segment is taken whole, with or without what has to follow, so that no run is read twice.
+_TOKEN = re.compile(rb"eyJ[A-Za-z0-9_-]++(\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]*+)?")
 _PEM = re.compile(rb"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
 _BASE64 = re.compile(rb"[A-Za-z0-9+/]{40,}={0,2}")
 _HEX_ANY = re.compile(rb"(?:[0-9a-f]{64,}|[0-9A-F]{64,})")
@@ -140,7 +141,7 @@ def find_secrets(text: bytes) -> list[tuple[int, int, int]]:
     found = [(m.start(), 0, m.end()) for m in _ASSIGN.finditer(text.lower()) if m.end(1) - m.start(1) >= 6]
     found += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 20]
     found += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
-    found += [(m.start(), 3, m.end()) for m in _TOKEN.finditer(text) if is_signed_token(m.group())]
+    found += [(m.start(), 3, m.end()) for m in _TOKEN.finditer(text) if m[1] and is_signed_token(m.group())]
     found += [(m.start(), 4, m.end()) for m in _PEM.finditer(text) if _is_key(_unbase64(b"".join(m[2].split())))]
     found += [(m.start(), 5, m.end()) for m in _BASE64.finditer(text) if _is_key(_unbase64(m.group()))]
     found += [(m.start(), 6, m.end()) for m in _HEX_ANY.finditer(text) if not len(m.group()) % 2 and _is_key(bytes.fromhex(m.group().decode()))]
