@@ -30,9 +30,9 @@ from .vector_codes import same_length
 
 PIVOTS = 128
 # A row is posted with its first pivots, a query reads the files of its first pivots.
-POSTED, PROBED = 16, 12
+POSTED, PROBED = 16, 14
 # Part of a block that is ranked again by exact products, and the least number of rows.
-RERANKED, RERANKED_LEAST = 0.2, 400
+RERANKED, RERANKED_LEAST = 0.3, 400
 BLOCK_ROWS, BLOCK_QUERIES = 16_384, 16_384
 LAST = (1 << 63) - 1
 
