@@ -222,11 +222,15 @@ def with_hits(
 
     A document is contaminated when it has a hit and at least a twentieth of its words are hit. NULL
     and empty texts have no words. An item of fewer than ``window`` words is one window; items
-    without an id or without words never occur. Rows and other columns of ``df`` stay as they are.
+    without an id or without words never occur. Rows and other columns of ``df`` stay as they are; a
+    column that is named like ``as_col`` is replaced.
     Runs a job for the size of the benchmark and one for each block of it.
     """
     parts = [_searcher(df.sparkSession, p)(F.col(text_col)) for p in _blocks(benchmark, item_col, item_text_col, window, block_bytes)]
-    names = [f"__hits{i}" for i in range(len(parts))]
+    stem = "__block"
+    while any(c.startswith(stem) for c in df.columns):
+        stem += "_"
+    names = [f"{stem}{i}" for i in range(len(parts))]
     out = df.withColumns(dict(zip(names, parts, strict=True)))
     spans, items = F.col(f"{names[0]}.spans"), F.col(f"{names[0]}.items")
     if len(names) > 1:
