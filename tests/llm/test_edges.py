@@ -89,13 +89,22 @@ def test_odd_pages(spark):
     path = scratch_path(spark, "warc")
     warc.write_captures(pages, path, per_file=3)
     got = warc.assemble(warc.read_records(spark, path)).collect()
-    assert len(got) == 7  # the repeated row is one capture
-    by = {(r.metadata.fields.get("page-id"), bytes(r.response.payload or b"")): r for r in got}
+    assert len(got) == len(rows) and len({r.record_id for r in got}) == len(rows)
+    by = {(r.metadata.fields.get("page-id") or None, bytes(r.response.payload or b"")): r for r in got}
     assert by["1", page.encode()].response.kind == "response"
     assert by["2", b""].response.kind == "revisit" and by["2", b""].response.refers_to == by["1", page.encode()].record_id
     assert by[None, b""].response.kind == "revisit"
     assert by["5", ("ü" * 70).encode()].response.payload_digest == by["5", ("ü" * 70).encode()].response.declared_digest
     assert all(r.request.head.startswith("GET ") for r in got)
+    told = sorted([(r.page, r.kind, r.bytes, r.refers_to) for r in warc.originals(warc.assemble(warc.read_records(spark, path, payload=False))).collect()], key=repr)
+    size = len(page.encode())
+    assert told == sorted([("1", "response", size, None), *[("2", "revisit", size, "1")] * 2, (None, "revisit", size, "1"), ("3", "response", 0, None), ("4", "response", 0, None), ("5", "response", 140, None), ("5", "response", 5, None)], key=repr)
+    # A response that repeats: its copies are responses too, and revisits name the first.
+    path = scratch_path(spark, "warc")
+    warc.write_captures(pages.union(pages.filter("page_id = 1")), path)
+    told = [r for r in warc.originals(warc.assemble(warc.read_records(spark, path))).collect() if r.bytes == size]
+    assert sorted((r.page or "", r.kind) for r in told) == [("", "revisit"), ("1", "response"), ("1", "response"), ("2", "revisit"), ("2", "revisit")]
+    assert {r.refers_to for r in told if r.kind == "revisit"} == {"1"}
     empty = scratch_path(spark, "warc")
     warc.write_captures(pages.limit(0), empty)
     assert warc.assemble(warc.read_records(spark, empty)).count() == 0

@@ -5,6 +5,7 @@ import re
 
 import pytest
 from compare import compare, engine
+from helpers import plain_components
 
 import corpus_pipeline
 from billtrace.llm import queries
@@ -28,7 +29,7 @@ def test_query(spark, name):
 
 
 def test_names():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_pipeline(spark):
@@ -50,8 +51,6 @@ def test_pipeline(spark):
                 largest[re.sub("[A-Z]+", lambda m: m.group().lower(), text or "")].append(key)
             assert set(after[name]) == {max(v) for v in largest.values()}
         if name == "ngram_jaccard_join":
-            from test_operators import plain_components
-
             components = plain_components(kept.items(), 5, 80)
             assert set(after[name]) == {k for k, (_, c) in components.items() if k == c}
         kept = after[name]
