@@ -2,7 +2,7 @@
 
 Five stages, each over all that the one before kept: toxic documents go, then exact copies, then all
 but one of each group of near copies, then documents contaminated by the benchmark; what is left is
-tokenised and packed. Rows without a doc_id take part, but the near-copy stage always keeps them.
+tokenised and packed. Rows without a doc_id take part; so do rows that repeat an id, each for itself.
 """
 
 from __future__ import annotations
@@ -21,11 +21,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that the documents don't have."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the threshold of the toxicity network."""
     ready(spark)
     score = toxicity.scorer(spark, queries.toxicity_network(spark, docs, _table(spark, sf_dir, "labels")))
-    return docs.withColumn("__toxicity", score(F.col("text"))).filter(F.col("__toxicity") < toxicity.THRESHOLD).drop("__toxicity")
+    mark = _free(docs, "__toxicity")
+    return docs.withColumn(mark, score(F.col("text"))).filter(F.col(mark) < toxicity.THRESHOLD).drop(mark)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,18 +43,25 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts linked by similar sets of five-word shingles, the one with the smallest id."""
+    """Of texts linked by similar sets of five-word shingles, the one with the smallest id.
+
+    A row is told by its id and text, so rows that share an id are judged one by one. Rows without an
+    id come after all others; of equal ids the smaller hash of the text stays.
+    """
     ready(spark)
-    found = parity_join.similarity_components(docs, n=SHINGLE_WORDS, num=SIMILARITY[0], den=SIMILARITY[1])
-    gone = staged(found.filter(F.col("id") != F.col("component_id")).select(F.col("id").alias("__gone")).distinct(), "gone")
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+    found = parity_join.similarity_components(docs.select(row.alias("row"), "text"), "row", n=SHINGLE_WORDS, num=SIMILARITY[0], den=SIMILARITY[1])
+    gone = found.filter(F.col("id") != F.col("component_id")).select(F.col("id.id").alias("__gone"), F.col("id.hash").alias("__hash")).distinct()
+    same = F.col("d.doc_id").eqNullSafe(F.col("g.__gone")) & (F.xxhash64("d.text") == F.col("g.__hash"))
+    return docs.alias("d").join(staged(gone, "gone").alias("g"), same, "left_anti")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without hits, or of which less than a twentieth of the words is hit."""
     ready(spark)
-    marked = decontamination.with_hits(docs, _table(spark, sf_dir, "benchmark"), as_col="__hits")
-    return marked.filter(~F.col("__hits.contaminated")).drop("__hits")
+    hits = _free(docs, "__hits")
+    marked = decontamination.with_hits(docs, _table(spark, sf_dir, "benchmark"), as_col=hits)
+    return marked.filter(~F.col(f"{hits}.contaminated")).drop(hits)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
