@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -40,6 +41,18 @@ def chunks(texts: list[bytes], size: int = 1 << 21) -> Iterator[tuple[int, int]]
         yield start, len(texts)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system.
+
+    Python workers outlive their tasks and share the executor's memory with it and with each other,
+    so a step calls this at its end; what it held must be free by then.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it, other libraries needn't
+    if trim is not None:
+        trim(0)
+
+
 def map_rows(df: DataFrame, schema: T.StructType, step: Callable[[Iterable[pa.RecordBatch]], Iterator[dict]]) -> DataFrame:
     """``mapInArrow`` for a step that yields columns as a dict of lists or arrays."""
     arrow = to_arrow_schema(schema)
@@ -48,6 +61,8 @@ def map_rows(df: DataFrame, schema: T.StructType, step: Callable[[Iterable[pa.Re
         for columns in step(batches):
             arrays = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for f, c in ((f, columns[f.name]) for f in arrow)]
             yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+        columns = arrays = None  # the last batch
+        release_memory()
 
     return df.mapInArrow(run, schema)
 
@@ -76,4 +91,4 @@ def sample_per_class(df: DataFrame, label: str, key: str, per_class: int) -> Dat
     return df.filter(chosen)
 
 
-__all__ = ["chunks", "discard", "field", "map_rows", "ready", "sample_per_class", "scratch_path", "staged", "texts_as_bytes"]
+__all__ = ["chunks", "discard", "field", "map_rows", "ready", "release_memory", "sample_per_class", "scratch_path", "staged", "texts_as_bytes"]

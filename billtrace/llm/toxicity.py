@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, sample_per_class, texts_as_bytes
+from .common import chunks, release_memory, sample_per_class, texts_as_bytes
 
 WINDOW = 48
 STRIDE = 32
@@ -39,6 +39,7 @@ FEW, MOST_REPEATS, REPLACED, ANY_WINDOW = 40, 4, 0.2, 0.6
 THRESHOLD = 0.7
 MAX_KNOWN_WORDS = 200_000
 BLOCK = 4096  # windows in one pass of the network
+FRESH = 8192  # new words whose n-grams are held at a time in scoring
 _WORDS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 PAD = b""
 
@@ -118,8 +119,10 @@ class Words:
         self.fresh += new
         return np.array([self.numbers[w] for w in words], np.int32)
 
-    def take(self) -> Features:
-        new, self.fresh = self.fresh, []
+    def take(self, most: int | None = None) -> Features:
+        """Features of the words that are new, or of the first so many of them."""
+        new = self.fresh[:most]
+        self.fresh = self.fresh[len(new) :]
         return Features.of(new)
 
 
@@ -321,9 +324,11 @@ class Scorer:
             self._clear()
         words = [words_of(t) for t in texts]
         numbers = self.words.of([w for own in words for w in own])
-        if self.words.fresh:
-            fresh = self.net.gates(self.net.embed(self.words.take())[0])
-            self.tables = [np.concatenate(pair) for pair in zip(self.tables, fresh, strict=True)]
+        parts = [self.tables]
+        while self.words.fresh:
+            parts.append(self.net.gates(self.net.embed(self.words.take(FRESH))[0]))
+        if len(parts) > 1:
+            self.tables = [np.concatenate(side) for side in zip(*parts, strict=True)]
         end = np.cumsum([len(own) for own in words])
         out = np.zeros(len(texts))
         full = [i for i, own in enumerate(words) if own]
@@ -358,6 +363,8 @@ def scorer(spark, net: Network):
         own = Scorer(shared.value)
         for text in batches:
             yield pa.array(own.scores(texts_as_bytes(text)))
+        own = text = None
+        release_memory()
 
     def of(text: Column | str) -> Column:
         return score(F.col(text) if isinstance(text, str) else text)
