@@ -309,6 +309,17 @@ def test_toxic_words_are_learned():
     assert (predicted == np.array(labels[300:], bool)).mean() > 0.9
 
 
+def test_scores_do_not_depend_on_how_new_words_are_cut(monkeypatch):
+    rnd = random.Random(3)
+    texts = [" ".join(f"w{rnd.randrange(900)}" for _ in range(n)).encode() for n in (0, 1, 47, 48, 49, 500, 3000)] + [b"a" * 5000, "caff\u00e8 \u4e16\u754c".encode()]
+    net = toxicity.Network(5)
+    whole = toxicity.Scorer(net).scores(texts)
+    monkeypatch.setattr(toxicity, "FRESH", 7)
+    scorer = toxicity.Scorer(net)
+    assert np.allclose(scorer.scores(texts), whole, atol=1e-6) and not scorer.words.fresh
+    assert np.allclose([scorer.scores([t])[0] for t in reversed(texts)][::-1], whole, atol=1e-6)  # words known by now
+
+
 def test_mixtures_choose_their_languages():
     rows = [("aa", b"tha the thi tho " * 30), ("bb", b"zuk zik zok zak " * 30)]
     model = language_id.Model.train(rows)
