@@ -8,12 +8,15 @@ else is text, late as that value may come, and no other column is touched by it.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .readers import read_files
+
 # The types a column can have, narrowest first, and the form of their values.
 # A type is wider than those named beside it: their values fit it as well.
 FORMS = {
@@ -96,16 +99,32 @@ def merged_type(old: T.DataType, new: T.DataType) -> T.DataType:
 CORRUPT = "_corrotto"
 
 
+def _decoder():
+    """From a row with the bytes of a JSON file to its text in any of its encodings; nothing where it is in none."""
+
+    def run(row) -> str:
+        content = bytes(row[0])
+        try:
+            return content.decode(json.detect_encoding(content))
+        except UnicodeDecodeError:
+            return ""
+
+    return run
+
+
 def read_documents_evolving(spark: SparkSession, path: str, declared: T.StructType | None = None, glob: str = "*") -> DataFrame:
     """One JSON document per file, whole files, with the fields of all documents, and the broken ones set apart.
 
     The layout is that of ``declared`` widened by what any document holds: new fields follow at the end
     of their struct, and what fits no common type is text. A file that is no document comes back with its
-    text in ``_corrotto`` and NULL elsewhere; ``path`` says which. Two passes over the files.
+    text in ``_corrotto`` and NULL elsewhere; ``path`` says which. Two passes over the files: the first one finds the
+    layout from their texts, in as many tasks as a scan has, where a JSON reader would look at all files in one.
     """
-    reader = lambda: spark.read.options(multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, pathGlobFilter=glob, recursiveFileLookup=True)
-    found = T.StructType([f for f in reader().json(path).schema if f.name != CORRUPT])
+    reader = spark.read.options(multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, pathGlobFilter=glob, recursiveFileLookup=True)
+    texts = read_files(spark, path, glob).select("content").rdd.map(_decoder())
+    inferred = spark.read.options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT).json(texts).schema
+    found = T.StructType([f for f in inferred if f.name != CORRUPT])
     layout = found if declared is None else merged_type(declared, found)
     if CORRUPT not in layout.names:
         layout = T.StructType([*layout, T.StructField(CORRUPT, T.StringType())])
-    return reader().schema(layout).json(path).select("*", F.col("_metadata.file_path").alias("path"))
+    return reader.schema(layout).json(path).select("*", F.col("_metadata.file_path").alias("path"))

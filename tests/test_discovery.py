@@ -68,6 +68,34 @@ def test_documents_of_several_layouts(spark, tmp_path):
     assert wide.columns[:2] == ["id", "note"] and wide.filter("id = 2").first().x.n == 2.5
 
 
+def tasks_of(spark, work):
+    """What ``work`` returns, and the most tasks that a stage of it has."""
+    group = f"tasks-{random.random()}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        out = work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    return out, max(s.numTasks for s in stages if s)
+
+
+def test_layouts_are_found_in_many_tasks(spark, tmp_path):
+    for i in range(64):
+        (tmp_path / f"{i}.json").write_text(f'{{"id": {i},\n "f{i % 3}": {i}}}')
+    got, tasks = tasks_of(spark, lambda: read_documents_evolving(spark, str(tmp_path)))
+    assert tasks >= 4 and got.agg(F.sum("id"), F.count("f0"), F.count("f2")).first()[:] == (2016, 22, 21)
+
+
+def test_documents_in_other_encodings(spark, tmp_path):
+    for i, code in enumerate(("utf-8", "utf-8-sig", "utf-16", "utf-16-le", "utf-16-be", "utf-32", "utf-32-le", "utf-32-be")):
+        (tmp_path / f"{i}.json").write_bytes(f'{{"id": {i}, "t{i}": "è"}}'.encode(code))
+    (tmp_path / "none.json").write_bytes(b'{"id": 9, "other": "\xff"}')
+    got = {r.id: r for r in read_documents_evolving(spark, str(tmp_path)).collect() if r._corrotto is None}
+    assert len(got) == 8 and all(got[i][f"t{i}"] == "è" for i in range(8)) and "other" not in got[0]
+
+
 # ---- trees
 
 
