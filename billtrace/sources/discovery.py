@@ -21,7 +21,8 @@ from pyspark.sql.types import _parse_datatype_string
 from ..session import scratch_path
 
 ENTRY = "path string, folder boolean, length long, modified timestamp"
-FOLDERS_PER_TASK = 200
+FOLDERS_PER_TASK, MOST_FOLDERS = 200, 20_000  # of a task, with few folders and with very many
+TASKS_PER_CORE = 4
 ROWS_PER_BATCH = 10_000
 
 
@@ -51,6 +52,10 @@ def _lister(address: str):
     return run
 
 
+def _tasks(spark: SparkSession) -> int:
+    return TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+
+
 def list_tree(spark: SparkSession, root: str, glob: str = "*", depth: int | None = None) -> DataFrame:
     """Files below a folder: path, length, modified. ``glob`` is matched with the file name.
 
@@ -63,7 +68,7 @@ def list_tree(spark: SparkSession, root: str, glob: str = "*", depth: int | None
     level = spark.createDataFrame([(path,)], "path string")
     n, levels, files = 1, 0, []
     while n and (depth is None or levels <= depth):
-        spread = level.repartition(max(1, -(-n // FOLDERS_PER_TASK)))
+        spread = level.repartition(max(1, min(-(-n // FOLDERS_PER_TASK), _tasks(spark)), -(-n // MOST_FOLDERS)))
         found = spread.mapInArrow(_lister(address), ENTRY)
         out = scratch_path(spark, "tree")
         found.filter(~F.rlike("path", F.lit(r"/[._][^/]*$"))).write.parquet(out)
@@ -79,7 +84,8 @@ def list_tree(spark: SparkSession, root: str, glob: str = "*", depth: int | None
 def write_tree(files: DataFrame, root: str, path: str = "path", content: str = "content") -> int:
     """Write one file for each row: a path below the root, and its text. Returns the number of files.
 
-    A path that repeats is written again; of two such rows at a time either may win.
+    A path that repeats is written again; of two such rows at a time either may win. The rows are dealt to a few
+    tasks for each core first: a file takes as long as it takes, however few tasks the rows come from.
     """
     address, base_path = _split(root)
 
@@ -90,9 +96,14 @@ def write_tree(files: DataFrame, root: str, path: str = "path", content: str = "
         top = base.rstrip("/") + base_path.rstrip("/")
         for batch in batches:
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                store.create_dir(f"{top}/{name}".rsplit("/", 1)[0], recursive=True)
-                with store.open_output_stream(f"{top}/{name}") as out:
+                try:
+                    out = store.open_output_stream(f"{top}/{name}")
+                except FileNotFoundError:  # the first file of a folder
+                    store.create_dir(f"{top}/{name}".rsplit("/", 1)[0], recursive=True)
+                    out = store.open_output_stream(f"{top}/{name}")
+                with out:
                     out.write((text or "").encode())
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
 
-    return files.select(path, content).mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    spread = files.select(path, content).repartition(_tasks(files.sparkSession))
+    return spread.mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -99,6 +99,19 @@ def test_documents_in_other_encodings(spark, tmp_path):
 # ---- trees
 
 
+def test_a_tree_from_one_partition_is_written_by_many_tasks(spark, tmp_path):
+    df = spark.range(400).select(F.concat(F.lit("a"), F.col("id") % 9, F.lit("/b"), "id", F.lit(".txt")).alias("path"), F.lit("x").alias("content"))
+    n, tasks = tasks_of(spark, lambda: write_tree(df.coalesce(1), str(tmp_path)))
+    assert n == 400 == list_tree(spark, str(tmp_path)).count() and tasks >= spark.sparkContext.defaultParallelism
+
+
+def test_many_folders_are_few_tasks(spark, tmp_path):
+    for i in range(0, 8000):
+        (tmp_path / f"d{i}").mkdir()
+    _, tasks = tasks_of(spark, lambda: list_tree(spark, str(tmp_path)))
+    assert tasks <= 4 * spark.sparkContext.defaultParallelism
+
+
 def test_ten_thousand_folders(spark, tmp_path):
     df = spark.range(10_000).select(F.concat(F.lit("Leg"), F.col("id") % 7, F.lit("/Atto"), "id", F.lit("/ddl pres/é.xml")).alias("path"), F.col("id").cast("string").alias("content"))
     assert write_tree(df.repartition(8), str(tmp_path)) == 10_000
