@@ -102,3 +102,28 @@ def test_distance(spark):
     df = spark.createDataFrame([("a b c d", "a b c x"), ("a", "A"), ("a b", "c")], "x string, y string")
     got = [r.similarita for r in similarity.text_distance(df, "x", "y").collect()]
     assert got == [pytest.approx(1 / 3), 1.0, 0.0]
+
+
+def test_sets_of_long_texts_move_for_near_pairs_only(spark, monkeypatch):
+    g = random.Random(5)
+    common = " ".join(f"c{i}" for i in range(900))
+    texts = [common + " " + " ".join(f"w{g.randrange(10**9)}" for _ in range(2100)) for _ in range(40)]
+    texts += [t + " fine" for t in texts[:3]]
+    scored, moved = similarity._scored, []
+    monkeypatch.setattr(similarity, "_scored", lambda pairs, sets: moved.append(pairs.count()) or scored(pairs, sets))
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = {(r.id, r.cluster) for r in similarity.similar_clusters(df, "id", "text").collect()}
+    assert got == {(i, i % 40) for i in (0, 1, 2, 40, 41, 42)}
+    assert 3 <= sum(moved[:-1]) <= 12  # 903 pairs share elements of their prefixes
+
+
+def test_growing_sketches_leave_every_near_pair_open(spark):
+    g = random.Random(6)
+    sets = [sorted({g.getrandbits(64) - 2**63 for _ in range(n)}) for n in (1, 2, 63, 64, 65, 127, 128, 129, 500, 1000, 1030)]
+    near = [sorted({*s[: max(1, len(s) * 9 // 10)], *(g.getrandbits(64) - 2**63 for _ in range(len(s) // 20))}) for s in sets]
+    rows = [*enumerate(sets), *((100 + i, s) for i, s in enumerate(near))]
+    pairs = [(i, 100 + j) for i in range(len(sets)) for j in range(len(sets))]
+    share = lambda i, j: len(set(sets[i]) & set(near[j])) * 100 >= 80 * len(set(sets[i]) | set(near[j]))
+    sketches = similarity._sketches(spark.createDataFrame(rows, "id long, s array<long>"))
+    got = {(r.a, r.b) for r in similarity._open(spark.createDataFrame(pairs, "a long, b long"), sketches, 80, 100).collect()}
+    assert {(i, j) for i, j in pairs if share(i, j - 100)} <= got and all(len(sets[a]) < 64 or share(a, b - 100) for a, b in got if 0.8 * len(near[b - 100]) <= len(sets[a]) <= len(near[b - 100]) / 0.8)
