@@ -39,7 +39,7 @@ FEW, MOST_REPEATS, REPLACED, ANY_WINDOW = 40, 4, 0.2, 0.6
 THRESHOLD = 0.7
 MAX_KNOWN_WORDS = 200_000
 BLOCK = 4096  # windows in one pass of the network
-FRESH = 8192  # new words whose n-grams are held at a time in scoring
+FRESH = 8192  # words whose n-grams are looked up at a time, in training and in scoring
 _WORDS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 PAD = b""
 
@@ -76,7 +76,18 @@ class Features:
         pad = np.array([w == PAD for w in words], bool)
         grams, owners = grams[~pad[owners]], owners[~pad[owners]]
         counts[pad] = 0
-        return cls(np.array([zlib.crc32(w) % WORD_ROWS for w in words], np.int64), grams[np.argsort(owners, kind="stable")], counts)
+        return cls(np.array([zlib.crc32(w) % WORD_ROWS for w in words], np.int64), grams[np.argsort(owners, kind="stable")].astype(np.int32), counts)
+
+    @classmethod
+    def joined(cls, parts: list[Features]) -> Features:
+        return cls(*(np.concatenate([getattr(p, name) for p in parts]) for name in ("words", "grams", "counts")))
+
+    def slices(self, size: int) -> Iterator[Features]:
+        """Runs of so many words."""
+        ends = np.append(0, np.cumsum(self.counts))
+        for i in range(0, len(self.words), size):
+            j = min(i + size, len(self.words))
+            yield Features(self.words[i:j], self.grams[ends[i] : ends[j]], self.counts[i:j])
 
     def some(self, which: np.ndarray) -> Features:
         first = np.cumsum(self.counts) - self.counts
@@ -149,6 +160,10 @@ class Network:
         out[f.counts == 0] = 0  # padding
         return out, weight
 
+    def inputs(self, f: Features) -> np.ndarray:
+        """Input vectors of any number of words; the vectors of n-grams are held for a slice at a time."""
+        return np.concatenate([self.embed(some)[0] for some in f.slices(FRESH)])
+
     def gates(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """What a word adds to the gates of either direction."""
         return x @ self.p["Wf"] + self.p["cf"], x @ self.p["Wb"] + self.p["cb"]
@@ -268,7 +283,10 @@ def fit(texts: list[bytes], labels: list[int], seed: int = 7) -> Network:
     cut = [windows_of(words.of(words_of(t))) for t in texts]
     if not cut:
         return net
-    features = words.take()
+    parts = []
+    while words.fresh:
+        parts.append(words.take(FRESH))
+    features = Features.joined(parts)
     first = np.cumsum([0, *map(len, cut)])
     windows, owner = np.concatenate(cut), np.repeat(np.arange(len(cut)), np.diff(first))
     y = np.array(labels, np.float32)
@@ -284,7 +302,7 @@ def fit(texts: list[bytes], labels: list[int], seed: int = 7) -> Network:
     epochs = min(MOST_EPOCHS, max(EPOCHS, LEAST_STEPS * BATCH // (2 * len(cut))))
     for epoch in range(epochs):
         if epoch:
-            tables = net.gates(net.embed(features)[0])
+            tables = net.gates(net.inputs(features))
             logit = np.concatenate([net.forward(tables, windows[i : i + BLOCK]) for i in range(0, len(windows), BLOCK)])
             worst = np.lexsort((-logit, owner))[first[:-1]]
             bad = [(some_of_each() if epoch < ANY_WINDOW * fading * epochs else worst)[y == 1] for _ in range(repeats)]
@@ -351,7 +369,10 @@ def train(df: DataFrame, text_col: str = "text", label_col: str = "toxic", key_c
     rows = df.select(F.col(text_col).alias("t"), F.col(label_col).cast("int").alias("y"), F.col(key_col).cast("string").alias("k"))
     rows = sample_per_class(rows.filter("t is not null and y in (0, 1) and k is not null"), "y", "k", per_class)
     found = sorted((r["k"], r["y"], r["t"].encode()) for r in rows.collect())
-    return fit([t for _, _, t in found], [y for _, y, _ in found])
+    net = fit([t for _, _, t in found], [y for _, y, _ in found])
+    found = None
+    release_memory()  # the driver goes on
+    return net
 
 
 def scorer(spark, net: Network):

@@ -1,11 +1,13 @@
 """Every stage of the pipeline on odd rows: NULL and repeated ids, repeated rows, clashing names, empty tables."""
 
 import random
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from billtrace.llm import toxicity
 from billtrace.llm.common import ready
 
 SF = "/root/testdata/sf0.001"
@@ -63,3 +65,20 @@ def test_packing_takes_every_row(spark, docs):
     pieces = corpus_pipeline.pack(spark, docs, SF).collect()
     assert sum(r.piece == 0 for r in pieces) == len(ROWS)
     assert corpus_pipeline.pack(spark, docs.limit(0), SF).collect() == []
+
+
+def test_training_holds_the_ngrams_of_a_slice_of_words(monkeypatch):
+    monkeypatch.setattr(toxicity, "EPOCHS", 2)
+    monkeypatch.setattr(toxicity, "LEAST_STEPS", 0)
+    g = random.Random(3)
+    texts = [" ".join(f"{g.getrandbits(64):016x}" for _ in range(1500)).encode() for _ in range(40)]
+    tracemalloc.start()
+    toxicity.fit(texts, [i % 2 for i in range(40)])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150 << 20  # 60,000 words with 2,820,000 n-grams
+    net, words = toxicity.Network(), [b"", *(w for t in texts[:10] for w in t.split())]
+    whole = toxicity.Features.of(words)
+    assert (net.inputs(whole) == net.embed(whole)[0]).all()
+    parts = toxicity.Features.joined([toxicity.Features.of(words[i : i + 999]) for i in range(0, len(words), 999)])
+    assert all((getattr(whole, n) == getattr(parts, n)).all() for n in ("words", "grams", "counts"))
