@@ -280,7 +280,8 @@ class _Sets:
                 values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
                 yield pa.StructArray.from_arrays([pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], ["node", "s"])
 
-        texts = self.texts.join(rows, F.col("id").eqNullSafe(F.col("__w"))).select("__node", describe("text").alias("d"))
+        # Not deterministic to the optimiser, or it would make the filter below a join key and describe all texts for it.
+        texts = self.texts.join(rows, F.col("id").eqNullSafe(F.col("__w"))).select("__node", describe.asNondeterministic()("text").alias("d"))
         # Rows that share an id may have other texts; rows that repeat come once.
         self.sets.append(self.tables.write(texts.filter(F.col("__node") == F.col("d.node")).select("d.*"), "sets"))
 

@@ -333,3 +333,19 @@ def test_held_out_languages(spark):
     truth = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
     rows = df.filter("held_out").join(truth, "doc_id").filter("lang is not null").collect()
     assert sum(r.lang == r.lang_pred for r in rows) / len(rows) > 0.97
+
+
+def test_sets_are_made_for_wanted_texts_only(spark, monkeypatch):
+    plans, write = [], parity_join._Tables.write
+
+    def seen(self, rows, label):
+        plans.append((label, rows._jdf.queryExecution().optimizedPlan().toString()))
+        return write(self, rows, label)
+
+    monkeypatch.setattr(parity_join._Tables, "write", seen)
+    texts = [" ".join(f"w{i % 20}x{k}" for k in range(100)) + f" end{i}" for i in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = parity_join.similarity_components(df, n=3, num=90).collect()
+    assert {(r.id, r.component_id) for r in got} == {(i, i % 20) for i in range(60)}
+    made = [plan for label, plan in plans if label == "sets"]
+    assert made and all(plan.index("ArrowEvalPython") < plan.index("Join") for plan in made)  # above the join that picks them
