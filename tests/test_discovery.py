@@ -217,3 +217,11 @@ def test_blocks_are_read_as_a_browser_would(spark):
 def test_a_large_page(spark):
     html = "<a id=1>" + "<p>parola &amp; " * 100_000
     assert len(read_blocks(html)[0][2]) == 100_000 * 9 - 1
+
+
+def test_few_titles_are_compared_by_all_cores(spark):
+    df = spark.range(120).select(F.concat(F.lit("Supplier#0000"), F.lpad(F.col("id").cast("string"), 3, "0")).alias("t")).coalesce(1)
+    pairs = within_edits(df, "t", 2)
+    n, tasks = tasks_of(spark, lambda: pairs.agg(F.count("*")).first()[0])
+    texts = [f"Supplier#0000{i:03d}" for i in range(120)]
+    assert n == sum(distance(a, b) <= 2 for i, a in enumerate(texts) for b in texts[:i]) and tasks >= spark.sparkContext.defaultParallelism
