@@ -225,7 +225,7 @@ def _sketch(own: np.ndarray) -> bytes:
 
 
 class _Tables:
-    """Tables of this run, bucketed by node so that joins on it never shuffle them."""
+    """Tables of this run, bucketed by node or by block so that joins and groups on these never shuffle them."""
 
     def __init__(self, spark: SparkSession):
         self.spark, self.names = spark, []
@@ -237,6 +237,17 @@ class _Tables:
         writer.option("path", scratch_path(self.spark, label)).saveAsTable(self.names[-1])
         return self.names[-1]
 
+    def blocks(self, rows: DataFrame, label: str, lie_by_key: bool = False) -> DataFrame:
+        """Rows of blocks, written and read back.
+
+        Rows are not shuffled for it where Spark knows that they lie by key, or is told (``lie_by_key``, of a Python step).
+        """
+        self.names.append(f"{label}_{uuid.uuid4().hex}")
+        rows = rows if lie_by_key else rows.repartition(self.buckets, "key")
+        writer = rows.write.bucketBy(self.buckets, "key")
+        writer.option("path", scratch_path(self.spark, label)).saveAsTable(self.names[-1])
+        return self.spark.table(self.names[-1])
+
     def drop(self) -> None:
         for name in self.names:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
@@ -248,8 +259,8 @@ class _Sets:
     Sketches settle most pairs, so few sets are ever needed; each is made once, when a pair first needs it.
     """
 
-    def __init__(self, df: DataFrame, nodes: DataFrame, id_col: str, text_col: str, n: int):
-        self.tables, self.nodes, self.n = _Tables(df.sparkSession), nodes, n
+    def __init__(self, tables: _Tables, df: DataFrame, nodes: DataFrame, id_col: str, text_col: str, n: int):
+        self.tables, self.nodes, self.n = tables, nodes, n
         self.texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         self.sketches = [self.tables.write(nodes.select("node", "n", "sketch"), "sketches")]
         self.sets: list[str] = []
@@ -291,9 +302,6 @@ class _Sets:
         parts = [rows.join(self.tables.spark.table(name).select(F.col("node").alias(node), *[F.col(c).alias(f"{prefix}{c}") for c in columns]), node) for name in names]
         return reduce(DataFrame.union, parts)
 
-    def drop(self) -> None:
-        self.tables.drop()
-
 
 def _met(pairs: DataFrame, sets: _Sets, *columns: str) -> DataFrame:
     """Pairs (p, z) with columns of both: ``p_n`` and ``z_n``, say.
@@ -368,7 +376,7 @@ def _close_pairs(blocks: DataFrame, sets: _Sets, num: int, den: int, forest: boo
     Blocks of more than ``TILE`` rows are cut into parts, and each two parts meet in a task. With
     ``forest`` a task keeps only pairs that connect what its tile's pairs connect.
     """
-    sizes = staged(blocks.groupBy("key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("parts")), "tiles")
+    sizes = sets.tables.blocks(blocks.groupBy("key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("parts")), "tiles")
     rows = sets.join(blocks.join(sizes, "key"), "node", "n", "sketch")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -418,22 +426,24 @@ def _resolve(members: DataFrame, sets: _Sets, num: int, den: int) -> DataFrame:
     """(node, component) of the nodes that have a link."""
     blocks, component = members.withColumn("component", F.col("node")), None
     while True:
-        blocks = staged(_open_blocks(blocks), "blocks")
+        blocks = sets.tables.blocks(_open_blocks(blocks), "blocks")
         n = blocks.select("node").distinct().count()
         if n == 0 and component is not None:
             return component
         outside = blocks.filter(F.col("component") != F.col("largest"))
-        stars = staged(outside.groupBy("key").agg(F.min(F.struct("node", "component")).alias("m")).select("key", F.col("m.node").alias("p"), F.col("m.component").alias("pc")), "stars")
+        stars = outside.groupBy("key").agg(F.min("node").alias("p"), F.min_by("component", "node").alias("pc"))
+        stars = sets.tables.blocks(stars, "stars")
         met = blocks.join(stars, "key").filter(F.col("component") != F.col("pc"))
         links = _linked(met.select(F.least("p", "node").alias("p"), F.greatest("p", "node").alias("z")).distinct(), sets, num, den)
         joined = links.count()
         component = _joined(component, links)
-        rest = blocks.join(stars.select("key", F.col("p").alias("node")), ["key", "node"], "left_anti")
+        # By the key alone, by which both lie; a block has one star at most.
+        rest = blocks.join(stars.select("key", "p"), "key", "left").filter(F.col("p").isNull() | (F.col("node") != F.col("p")))
         blocks = _placed(rest, component)
         if joined < STAR_SHARE * n:
             break
     for forest in (True, False):
-        blocks = staged(_open_blocks(blocks).drop("largest"), "blocks")
+        blocks = sets.tables.blocks(_open_blocks(blocks).drop("largest"), "blocks")
         if blocks.isEmpty():
             break
         links = _linked(_close_pairs(blocks, sets, num, den, forest), sets, num, den, sketched=True)
@@ -475,13 +485,14 @@ def similarity_components(df: DataFrame, id_col: str = "doc_id", text_col: str =
     documents = staged(described.select("id", "node", "n_shingles"), "documents")
     nodes = described.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("id").alias("id"), F.max("n_shingles").cast("int").alias("n"), F.max("sketch").alias("sketch"))
     nodes = staged(nodes, "nodes")
-    members = staged(_shared(described.select(F.explode("keys").alias("key"), "node")), "members")
-    discard(df.sparkSession, keyed)
-    sets = _Sets(df, nodes.join(members.select("node").distinct(), "node", "left_semi"), id_col, text_col, n)
+    tables = _Tables(df.sparkSession)
     try:
+        members = tables.blocks(_shared(described.select(F.explode("keys").alias("key"), "node")), "members", lie_by_key=True)
+        discard(df.sparkSession, keyed)
+        sets = _Sets(tables, df, nodes.join(members.select("node").distinct(), "node", "left_semi"), id_col, text_col, n)
         component = _resolve(members, sets, num, den)
     finally:
-        sets.drop()
+        tables.drop()
     known = nodes.join(component, "node", "left").select("node", "id", F.coalesce("component", "node").alias("component"))
     smallest = known.groupBy("component").agg(F.min("id").alias("component_id"))
     ids = staged(known.join(smallest, "component").select("node", "component_id"), "component_ids")

@@ -349,3 +349,23 @@ def test_sets_are_made_for_wanted_texts_only(spark, monkeypatch):
     assert {(r.id, r.component_id) for r in got} == {(i, i % 20) for i in range(60)}
     made = [plan for label, plan in plans if label == "sets"]
     assert made and all(plan.rindex("ArrowEvalPython") < plan.index("Join") for plan in made)  # above the join that picks them
+
+
+def test_blocks_lie_by_key_and_are_not_shuffled_for_it(spark, monkeypatch):
+    """Blocks are grouped, cut and joined by their key in every round; each exchange by it sent all of them again."""
+    plans, write = {}, parity_join._Tables.blocks
+
+    def seen(self, rows, label, **options):
+        plans.setdefault(label, []).append(rows._jdf.queryExecution().executedPlan().toString())
+        return write(self, rows, label, **options)
+
+    monkeypatch.setattr(parity_join._Tables, "blocks", seen)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = spark.createDataFrame([(k, " ".join(f"w{k // 2}_{j}" for j in range(40)) + " x" * (k % 2)) for k in range(40)], "doc_id long, text string")
+        out = {r.id: r.component_id for r in parity_join.similarity_components(docs, n=3, num=90).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert out == {k: k - k % 2 for k in range(40)}
+    assert "Exchange" not in plans["blocks"][0] and "Exchange" not in plans["stars"][0]
