@@ -44,27 +44,28 @@ def bill_signers(bills: DataFrame, version: str = START_VERSION) -> DataFrame:
 def articles(bills: DataFrame) -> DataFrame:
     """One row for each article of each version, its paragraphs joined by a line break."""
     a = F.col("a")
-    return bills.select("atto_id", "versione", F.explode("articles").alias("a")).select(
+    rows = bills.select("atto_id", "versione", F.explode("articles").alias("a"))
+    return rows.withColumn("__text", join_texts(a["paragraphs"], "text")).select(
         "atto_id",
         a["id"].alias("articolo_id"),
         a["num"].alias("numero_articolo"),
         fix_encoding(a["heading"]).alias("titolo"),
         "versione",
-        fix_encoding(join_texts(a["paragraphs"], "text")).alias("testo_integrale"),
+        fix_encoding("__text").alias("testo_integrale"),
     )
 
 
 def amendment_rows(amendments: DataFrame) -> DataFrame:
     """Amendments by id; of several copies the first path stays."""
     once = first_per_key(amendments, ["id"], [F.col("path")])
-    return once.select(
+    return once.withColumn("__text", join_texts("content")).select(
         "atto_id",
         F.col("id").alias("emendamento_id"),
         F.col("number").alias("numero_emendamento"),
         target_article("number", "target_info").alias("articolo_target"),
         F.col("date").try_cast("date").alias("data"),
         "target_info",
-        fix_encoding(join_texts("content")).alias("testo_emendamento"),
+        fix_encoding("__text").alias("testo_emendamento"),
     )
 
 

@@ -17,6 +17,11 @@ def _located(parsed: DataFrame) -> DataFrame:
     return add_path_parts(parsed).withColumn("legislatura", F.col("legislatura").cast("string"))
 
 
+def _versions(bill_files: DataFrame) -> DataFrame:
+    """One parsed file of each act and version. To be written where it has several users: the pick moves whole articles."""
+    return flatten.one_per_version(_located(parse_bills(bill_files)).withColumn("versione", F.col("kind")))
+
+
 TABLES = ("t_atti", "t_firmatari_atto", "t_articoli", "t_emendamenti", "t_proponenti")
 
 
@@ -33,8 +38,7 @@ def act_tables(bill_files: DataFrame, amendment_files: DataFrame, persons: DataF
     def parsed(rows: DataFrame, label: str, *users: str) -> DataFrame:
         return staged(rows, label) if len({*users} & {*wanted}) > 1 else rows
 
-    bills = parsed(_located(parse_bills(bill_files)).withColumn("versione", F.col("kind")), "bills", "t_atti", "t_firmatari_atto", "t_articoli")
-    bills = flatten.one_per_version(bills)
+    bills = parsed(_versions(bill_files), "bills", "t_atti", "t_firmatari_atto", "t_articoli")
     amendments = parsed(_located(parse_amendments(amendment_files)), "amendments", "t_atti", "t_emendamenti", "t_proponenti")
     amendments = flatten.with_metadata(amendments)
     tables = {
@@ -49,8 +53,7 @@ def act_tables(bill_files: DataFrame, amendment_files: DataFrame, persons: DataF
 
 def build_documents(bill_files: DataFrame, amendment_files: DataFrame, persons: DataFrame, per_part: int = 10_000) -> DataFrame:
     """The nested act documents, in parts of bounded size, with enriched proponents."""
-    bills = staged(_located(parse_bills(bill_files)).withColumn("versione", F.col("kind")), "bills")
-    bills = flatten.one_per_version(bills)
+    bills = staged(_versions(bill_files), "bills")
     amendments = flatten.with_metadata(staged(_located(parse_amendments(amendment_files)), "amendments"))
     acts = _acts(bills, amendments).withColumnRenamed("legislatura", "leg")
     enriched = flatten.enriched_proponents(amendments, staged(persons, "persons"))

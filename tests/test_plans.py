@@ -71,3 +71,28 @@ def test_lookup_is_broadcast_when_small_and_split_when_not(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_versions_are_picked_before_they_are_written(spark):
+    """Acts, signers and versions use the picked bills; each use sorted and sent whole articles again."""
+    from billtrace.plans.acts import build_documents
+    from billtrace.registry.base import Tables
+    from billtrace.registry.documents import _amendments, _bills, _persons
+
+    t = Tables(spark, SF)
+    docs = build_documents(_bills(t), _amendments(t), _persons(t), per_part=50)
+    lines = docs._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert sum("Window [row_number" in line and "versione#" in line for line in lines) == 1  # that of consolidate
+
+
+def test_repairs_are_skipped_and_the_text_is_built_once(spark):
+    from billtrace.operators import flatten
+
+    bills = spark.createDataFrame(
+        [("a", "ddlpres", [("x", "1", "Ã¨  vero", [("1", " lâ\u0080\u0099atto   b"), ("2", None), ("3", "c")])])],
+        "atto_id string, versione string, articles array<struct<id string, num string, heading string, paragraphs array<struct<num string, text string>>>>",
+    )
+    rows = flatten.articles(bills)
+    assert [(r.titolo, r.testo_integrale) for r in rows.collect()] == [("è vero", "l'atto b c")]
+    text = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("array_join(") == 1 and "Contains(" in text.replace("contains(", "Contains(")
