@@ -47,7 +47,18 @@ def latest_membership(df: DataFrame, person: str, start: str) -> DataFrame:
 
 def first_role_wins(df: DataFrame, keys: Sequence[str], is_first: str) -> DataFrame:
     """Someone listed both as first signer and co-signer of an act stays as first signer."""
-    return first_per_key(df, keys, [F.col(is_first).desc_nulls_last()])
+    others = [f for f in df.schema if f.name not in (*keys, is_first)]
+    if len(others) != 1 or not _orderable(others[0].dataType) or df.schema[is_first].dataType != T.BooleanType():
+        return first_per_key(df, keys, [F.col(is_first).desc_nulls_last()])
+    # With one more column, plain aggregates do, which need no sort where that column is a number or a date.
+    flag, other = F.col(is_first), F.col(f"`{others[0].name}`")
+    best = F.max(flag)
+    picks = []
+    for has in (flag, ~flag, flag.isNull()):
+        # Of the rows with this flag: NULL comes first, then the smallest.
+        picks.append(F.when(~F.max(has & other.isNull()), F.min(F.when(has, other))))
+    value = F.when(best, picks[0]).when(~best, picks[1]).otherwise(picks[2])
+    return df.groupBy(*keys).agg(best.alias(is_first), value.alias(others[0].name)).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def current_or_last(df: DataFrame, keys: Sequence[str], end: str, position: str) -> DataFrame:

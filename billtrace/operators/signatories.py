@@ -14,9 +14,10 @@ from .picks import latest_membership
 from .shape import tagged_union
 
 
-def role_union(first: DataFrame, others: DataFrame, role: str = "ruolo") -> DataFrame:
-    """First and other signers as one table with a role."""
-    return tagged_union({"primo": first, "altro": others}, role).distinct()
+def role_union(first: DataFrame, others: DataFrame, role: str = "ruolo", once: bool = True) -> DataFrame:
+    """First and other signers as one table with a role; equal rows ``once``, or as often as they come."""
+    rows = tagged_union({"primo": first, "altro": others}, role)
+    return rows.distinct() if once else rows
 
 
 def with_names(signatures: DataFrame, names: DataFrame, key: str, stored: str, first: str, last: str) -> DataFrame:

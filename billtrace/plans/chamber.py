@@ -38,7 +38,8 @@ def state_history(states: DataFrame) -> DataFrame:
 def chamber_signers(first: DataFrame, others: DataFrame, names: DataFrame, memberships: DataFrame) -> DataFrame:
     """One row per act and deputy; the first-signer role wins over the other."""
     who = names.groupBy("dep").agg(F.min(full_name("nome", "cognome")).alias("nome_deputato"))
-    roles = role_union(first, others).withColumn("is_primo_firmatario", F.col("ruolo") == "primo").drop("ruolo")
+    # Equal rows needn't be dropped first: one row of each act and deputy stays.
+    roles = role_union(first, others, once=False).withColumn("is_primo_firmatario", F.col("ruolo") == "primo").drop("ruolo")
     rows = first_role_wins(roles, ["atto", "dep"], "is_primo_firmatario")
     rows = attach(rows, who, ["dep"])
     rows = rows.select(
@@ -85,6 +86,8 @@ def chamber_acts(
         present("vta_url").alias("has_testo"),
         "url_scheda_camera",
     )
+    # Sent once, by act: an act has a row for each of its deputies at most, so no task gets more than these of one key.
+    signers = signers.select("id_atto", "uri_deputato", "nome_deputato", "is_primo_firmatario").repartition("id_atto")
     summary = signatory_summary(signers, "id_atto", "uri_deputato", "nome_deputato", "is_primo_firmatario")
     dates = procedure_dates(state_history(states), "id_atto", "si_label", "si_date")
     out = out.join(summary, "id_atto", "left").join(dates, "id_atto", "left")

@@ -273,3 +273,13 @@ def test_integrity_reports_missing_and_null(spark):
     expected = spark.createDataFrame([(1, 2), (2, 1), (3, 5)], "leg int, n_atteso long")
     out = check_integrity(df, ["v"], ["leg"], expected)
     assert rows(out, "leg", "n", "n_atteso") == [(1, 2, 2), (3, 0, 5)]
+
+
+def test_first_role_by_aggregates_equals_the_row_pick(spark):
+    values = [(a, d, f, n) for a in "ab" for d in "pqr" for f in (True, False, None) for n in (None, 2, 1)]
+    rng = random.Random(5)
+    for size in (1, 5, 12, 40):
+        df = spark.createDataFrame([rng.choice(values) for _ in range(size)], "act string, who string, first boolean, leg int")
+        want = picks.first_per_key(df, ["act", "who"], [F.col("first").desc_nulls_last()])
+        got = picks.first_role_wins(df, ["act", "who"], "first")
+        assert got.columns == df.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()

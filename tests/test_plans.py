@@ -96,3 +96,9 @@ def test_repairs_are_skipped_and_the_text_is_built_once(spark):
     assert [(r.titolo, r.testo_integrale) for r in rows.collect()] == [("è vero", "l'atto b c")]
     text = rows._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("array_join(") == 1 and "Contains(" in text.replace("contains(", "Contains(")
+
+
+def test_chamber_signers_are_sent_once_and_not_sorted(spark):
+    text = plan(spark, "d5_chamber_signers")
+    assert text.count("Exchange hashpartitioning(") == 1
+    assert "Window" not in text and "Sort" not in text
