@@ -24,13 +24,13 @@ than there are nodes, a small part of all block rows.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +46,9 @@ SKETCH_BITS = 512  # at least
 PAIRS_PER_PART = 500
 TILE = 1024
 STAR_SHARE = 0.1  # rounds of stars go on while they join this share of what is open
+MARKS = 4  # bits of a filter that an id sets
+MARK_BITS = 16  # bits of a filter for each id, at least
+MAX_FILTER_BITS = 1 << 27  # 16 MB; with more ids than it has room for, a filter passes more rows and is as right
 _U = np.uint64
 
 
@@ -224,6 +227,45 @@ def _sketch(own: np.ndarray) -> bytes:
     return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
+def _marks(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Places that ids of these hashes have in a filter of ``bits`` bits, a power of two; a row for each of ``MARKS``."""
+    h = hashes.astype(np.int64).view(np.uint64)
+    return (h + np.arange(MARKS, dtype=np.uint64)[:, None] * ((h >> _U(32)) | _U(1))) & _U(bits - 1)
+
+
+def _perhaps(ids: DataFrame, id_col: str) -> Callable[[Column], Column]:
+    """A condition on ids that holds for all of these and for few others (a Bloom filter).
+
+    Tasks make it, so no id comes to the driver; it holds a filter of ``MAX_FILTER_BITS`` at most.
+    """
+    bits = 1 << 13
+    wanted = min(MARK_BITS * ids.count(), MAX_FILTER_BITS)
+    while bits < wanted:
+        bits *= 2
+
+    def step(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+        own = np.zeros(bits // 64, np.uint64)
+        for batch in batches:
+            for at in _marks(batch.column(0).to_numpy(zero_copy_only=False), bits):
+                np.bitwise_or.at(own, (at >> _U(6)).astype(np.int64), _U(1) << (at & _U(63)))
+        used = np.flatnonzero(own)
+        for i in range(0, len(used), 1 << 16):
+            yield {"word": used[i : i + (1 << 16)], "set": own[used[i : i + (1 << 16)]].view(np.int64)}
+
+    schema = T.StructType([T.StructField("word", T.LongType()), T.StructField("set", T.LongType())])
+    made = map_rows(ids.select(F.xxhash64(id_col)), schema, step).groupBy("word").agg(F.bit_or("set").alias("set")).toArrow()
+    filled = np.zeros(bits // 64, np.uint64)
+    filled[made.column("word").to_numpy()] = made.column("set").to_numpy().view(np.uint64)
+    shared = ids.sparkSession.sparkContext.broadcast(filled)
+
+    @F.arrow_udf("boolean")
+    def holds(hashes: pa.Array) -> pa.Array:
+        at = _marks(hashes.to_numpy(zero_copy_only=False), bits)
+        return pa.array(((shared.value[(at >> _U(6)).astype(np.int64)] >> (at & _U(63))) & _U(1)).all(axis=0))
+
+    return lambda column: holds(F.xxhash64(column))
+
+
 class _Tables:
     """Tables of this run, bucketed by node or by block so that joins and groups on these never shuffle them."""
 
@@ -266,7 +308,10 @@ class _Sets:
         self.sets: list[str] = []
 
     def need(self, wanted: DataFrame) -> None:
-        """Make the sets of nodes that have none yet."""
+        """Make the sets of nodes that have none yet.
+
+        Only texts that a filter of the wanted ids lets through are joined with them: the join would send all texts.
+        """
         spark, n = self.tables.spark, self.n
         fresh = wanted.distinct()
         for name in self.sets:
@@ -291,10 +336,15 @@ class _Sets:
                 values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
                 yield pa.StructArray.from_arrays([pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], ["node", "s"])
 
+        likely = scratch_path(spark, "likely")
+        perhaps = _perhaps(rows, "__w")
+        self.texts.filter(perhaps(F.col("id"))).write.parquet(likely)
+        few = spark.read.schema(self.texts.schema).parquet(likely)
         # Not deterministic to the optimiser, or it would make the filter below a join key and describe all texts for it.
-        texts = self.texts.join(rows, F.col("id").eqNullSafe(F.col("__w"))).select("__node", describe.asNondeterministic()("text").alias("d"))
+        texts = few.join(rows, F.col("id").eqNullSafe(F.col("__w"))).select("__node", describe.asNondeterministic()("text").alias("d"))
         # Rows that share an id may have other texts; rows that repeat come once.
         self.sets.append(self.tables.write(texts.filter(F.col("__node") == F.col("d.node")).select("d.*"), "sets"))
+        discard(spark, likely)
 
     def join(self, rows: DataFrame, node: str, *columns: str, prefix: str = "") -> DataFrame:
         """Rows with n and sketch, or the set, of the node in a column."""

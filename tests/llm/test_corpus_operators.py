@@ -11,6 +11,7 @@ import zlib
 import numpy as np
 import pytest
 from helpers import lower, plain_components
+from pyspark.sql import functions as F
 
 from billtrace.llm import decontamination, exact_dedup, language_id, packing, parity_join, queries, secret_scan, sharding, suffix_dedup, tokens, toxicity
 from billtrace.llm.common import ready
@@ -369,3 +370,35 @@ def test_blocks_lie_by_key_and_are_not_shuffled_for_it(spark, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert out == {k: k - k % 2 for k in range(40)}
     assert "Exchange" not in plans["blocks"][0] and "Exchange" not in plans["stars"][0]
+
+
+def test_only_wanted_texts_are_joined_for_their_sets(spark, monkeypatch, tmp_path):
+    """With more wanted ids than a broadcast takes, a join with all texts sent all of them."""
+    rnd, read, write = random.Random(4), [], parity_join._Tables.write
+    rows = [(i, " ".join(f"t{rnd.getrandbits(60)}" for _ in range(60))) for i in range(2000)]
+    rows += [(i + 5000, rows[i][1] + " end") for i in range(20)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents")
+
+    def seen(self, made, label):
+        if label == "sets":
+            tables = [spark.read.parquet(f) for f in made.inputFiles()]
+            read.append(sum(t.count() for t in tables if "text" in t.columns))
+        return write(self, made, label)
+
+    monkeypatch.setattr(parity_join._Tables, "write", seen)
+    out = parity_join.similarity_components(spark.read.parquet(f"{tmp_path}/documents"), n=3, num=90).collect()
+    assert {r.id: r.component_id for r in out} == {i: i % 5000 for i, _ in rows}
+    assert read and all(40 <= n <= 60 for n in read[:1]) and max(read) <= 60
+
+
+def test_filter_of_ids_holds_for_all_of_them(spark):
+    """Of other ids few pass; a filter with too little room for its ids passes more and loses none."""
+    ids = spark.range(0, 40000, 2).select(F.when(F.col("id") == 0, None).otherwise(F.struct("id", F.lit(None).cast("string").alias("s"))).alias("id"))
+    others = spark.range(1, 40000, 2).select(F.struct("id", F.lit(None).cast("string").alias("s")).alias("id"))
+    perhaps = parity_join._perhaps(ids, "id")
+    assert ids.filter(perhaps(F.col("id"))).count() == 20000
+    assert others.filter(perhaps(F.col("id"))).count() < 400
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(parity_join, "MAX_FILTER_BITS", 1 << 14)
+        perhaps = parity_join._perhaps(ids, "id")
+        assert ids.filter(perhaps(F.col("id"))).count() == 20000
