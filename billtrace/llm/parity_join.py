@@ -307,8 +307,8 @@ class _Sets:
         self.sketches = [self.tables.write(nodes.select("node", "n", "sketch"), "sketches")]
         self.sets: list[str] = []
 
-    def need(self, wanted: DataFrame) -> None:
-        """Make the sets of nodes that have none yet.
+    def need(self, wanted: DataFrame, most: int) -> None:
+        """Make the sets of nodes, ``most`` at most, that have none yet.
 
         Only texts that a filter of the wanted ids lets through are joined with them: the join would send all texts.
         """
@@ -316,7 +316,7 @@ class _Sets:
         fresh = wanted.distinct()
         for name in self.sets:
             fresh = fresh.join(spark.table(name).select("node"), "node", "left_anti")
-        rows = staged(self.nodes.select("id", "node").join(fresh, "node", "left_semi").select(F.col("id").alias("__w"), F.col("node").alias("__node")), "wanted")
+        rows = staged(self.nodes.select("id", "node").join(fresh, "node", "left_semi").select(F.col("id").alias("__w"), F.col("node").alias("__node")), "wanted", most)
         if rows.isEmpty():
             return
 
@@ -353,20 +353,20 @@ class _Sets:
         return reduce(DataFrame.union, parts)
 
 
-def _met(pairs: DataFrame, sets: _Sets, *columns: str) -> DataFrame:
-    """Pairs (p, z) with columns of both: ``p_n`` and ``z_n``, say.
+def _met(pairs: DataFrame, sets: _Sets, most: int, *columns: str) -> DataFrame:
+    """Pairs (p, z), ``most`` at most, with columns of both: ``p_n`` and ``z_n``, say.
 
     What a ``p`` with many pairs brings is sent once for every ``PAIRS_PER_PART`` of them.
     """
-    parts = staged(pairs.groupBy("p").agg(F.ceil(F.count("*") / PAIRS_PER_PART).cast("int").alias("parts")), "parts")
+    parts = staged(pairs.groupBy("p").agg(F.ceil(F.count("*") / PAIRS_PER_PART).cast("int").alias("parts")), "parts", most)
     salted = pairs.join(parts, "p").withColumn("part", F.pmod(F.xxhash64("z"), F.col("parts")).cast("int")).drop("parts")
     of_z = sets.join(salted, "z", *columns, prefix="z_")
     of_p = sets.join(parts, "p", *columns, prefix="p_").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     return of_z.join(of_p.drop("parts"), ["p", "part"])
 
 
-def _open_pairs(pairs: DataFrame, sets: _Sets, num: int, den: int) -> DataFrame:
-    """The pairs whose sketches leave the threshold open: they differ in no more bits than the sets may in elements."""
+def _open_pairs(pairs: DataFrame, sets: _Sets, most: int, num: int, den: int) -> DataFrame:
+    """The pairs, ``most`` at most, whose sketches leave the threshold open: they differ in no more bits than the sets may in elements."""
 
     @F.arrow_udf("long")
     def differ(p: pa.Array, z: pa.Array) -> pa.Array:
@@ -377,7 +377,7 @@ def _open_pairs(pairs: DataFrame, sets: _Sets, num: int, den: int) -> DataFrame:
         return pa.array(out, pa.int64())
 
     bits = differ("p_sketch", "z_sketch") * (den + num)
-    return _met(pairs, sets, "n", "sketch").filter(bits <= (F.col("p_n") + F.col("z_n")).cast("long") * (den - num)).select("p", "z")
+    return _met(pairs, sets, most, "n", "sketch").filter(bits <= (F.col("p_n") + F.col("z_n")).cast("long") * (den - num)).select("p", "z")
 
 
 def _linked(pairs: DataFrame, sets: _Sets, num: int, den: int, sketched: bool = False) -> DataFrame:
@@ -387,14 +387,16 @@ def _linked(pairs: DataFrame, sets: _Sets, num: int, den: int, sketched: bool =
     """
     pairs = staged(pairs, "pairs")
     if not sketched:
-        pairs = staged(_open_pairs(pairs, sets, num, den), "open")
-    sets.need(pairs.select(F.explode(F.array("p", "z")).alias("node")))
+        most = pairs.count()
+        pairs = staged(_open_pairs(pairs, sets, most, num, den), "open", most)
+    most = pairs.count()
+    sets.need(pairs.select(F.explode(F.array("p", "z")).alias("node")), 2 * most)
     if not sets.sets:
         return pairs.limit(0)
     both = F.size(F.array_intersect("p_s", "z_s")).cast("long")
-    scored = _met(pairs, sets, "s").select("p", "z", F.size("p_s").alias("a"), F.size("z_s").alias("b"), both.alias("i"))
+    scored = _met(pairs, sets, most, "s").select("p", "z", F.size("p_s").alias("a"), F.size("z_s").alias("b"), both.alias("i"))
     good = scored.filter(F.col("i") * den >= (F.col("a") + F.col("b") - F.col("i")) * num)
-    return staged(good.select("p", "z").distinct(), "links")
+    return staged(good.select("p", "z").distinct(), "links", most)
 
 
 def _folded(sketches: list[bytes]) -> np.ndarray:
@@ -515,8 +517,9 @@ def _joined(component: DataFrame | None, links: DataFrame) -> DataFrame:
     edges = links.select(F.col("p").alias("a"), F.col("z").alias("b"))
     if component is not None:
         edges = edges.union(component.filter("node <> component").select("node", "component"))
-    found = clusters(edges)
-    return staged(found.select(F.col("id").alias("node"), F.col("cluster").alias("component")), "components")
+    most = edges.count()
+    found = clusters(edges, rows=most)
+    return staged(found.select(F.col("id").alias("node"), F.col("cluster").alias("component")), "components", 2 * most)
 
 
 def similarity_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100) -> DataFrame:

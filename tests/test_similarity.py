@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from billtrace.operators import similarity
+from billtrace.operators import joins, similarity
 
 
 def runs(text, n=3):
@@ -49,6 +49,39 @@ def test_no_edges(spark):
     assert similarity.clusters(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_few_edges_cost_few_tasks(spark, tmp_path):
+    """Each table of a round was written by as many tasks as shuffles have partitions, and a round was run to see that nothing changes."""
+    path, partitions = f"{tmp_path}/edges", 64
+    spark.createDataFrame([(1, 2), (2, 3), (5, 4), (5, 6), (7, 8)], "a long, b long").write.parquet(path)
+    flat = f"{tmp_path}/flat"
+    spark.createDataFrame([(0, i) for i in range(1, 40)], "a long, b long").write.parquet(flat)
+    written, plain = [], similarity.staged
+
+    def seen(df, label, *rows):
+        out = plain(df, label, *rows)
+        written.append(len(out.inputFiles()))
+        return out
+
+    keys = {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in keys}
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(similarity, "staged", seen)
+        patch.setattr(joins, "staged", seen)
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        try:
+            got = {r.id: r.cluster for r in similarity.clusters(spark.read.parquet(path), rows=5).collect()}
+            rounds = len(written)
+            star = {r.id: r.cluster for r in similarity.clusters(spark.read.parquet(flat), rows=40).collect()}
+        finally:
+            for k, v in before.items():
+                spark.conf.set(k, v)
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 4, 7: 7, 8: 7}
+    assert star == {i: 0 for i in range(40)}
+    assert rounds <= 9 and len(written) == rounds + 1
+    assert max(written) <= spark.sparkContext.defaultParallelism
+
+
 def corpus(seed):
     """Unrelated texts, a hot family of copies and near copies, and a family of its own."""
     rnd = random.Random(seed)
