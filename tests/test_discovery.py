@@ -1,6 +1,7 @@
 """Types and layouts that are found out, trees, near-equal titles, minutes and HTML blocks."""
 
 import random
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -225,3 +226,25 @@ def test_few_titles_are_compared_by_all_cores(spark):
     n, tasks = tasks_of(spark, lambda: pairs.agg(F.count("*")).first()[0])
     texts = [f"Supplier#0000{i:03d}" for i in range(120)]
     assert n == sum(distance(a, b) <= 2 for i, a in enumerate(texts) for b in texts[:i]) and tasks >= spark.sparkContext.defaultParallelism
+
+
+def test_titles_with_common_parts_meet_in_few_places(spark):
+    """Numbers behind one word share their few pairs of digits with a large part of all others, and all of these met."""
+    rnd = random.Random(7)
+    numbers = rnd.sample(range(10**9), 40_000)
+    numbers += [n + 1 for n in numbers[:50] if n + 1 not in numbers]
+    df = spark.createDataFrame([(f"Supplier#{n:09d}",) for n in numbers], "t string")
+    late = threading.Timer(100, spark.sparkContext.cancelAllJobs)
+    late.start()
+    try:
+        got = {(r.a, r.b): r.distanza for r in within_edits(df, "t", 2).collect()}
+    finally:
+        late.cancel()
+    assert len(got) >= 50 and all(distance(a, b) == d <= 2 for (a, b), d in got.items())
+    patterns = {}
+    for t in (f"Supplier#{n:09d}" for n in numbers):
+        for i in range(9, 18):
+            for j in range(i + 1, 18):
+                patterns.setdefault((i, j, t[:i] + t[i + 1 : j] + t[j + 1 :]), []).append(t)
+    near = {(min(a, b), max(a, b)) for same in patterns.values() for a in same for b in same if a != b}
+    assert near <= set(got)
