@@ -1,10 +1,13 @@
 """Similar texts and clusters against brute force."""
 
+import os
 import random
+from urllib.parse import unquote, urlparse
 
+import numpy as np
 import pytest
 
-from billtrace.operators import joins, similarity
+from billtrace.operators import joins, parity, similarity
 
 
 def runs(text, n=3):
@@ -160,3 +163,39 @@ def test_growing_sketches_leave_every_near_pair_open(spark):
     sketches = similarity._sketches(spark.createDataFrame(rows, "id long, s array<long>"))
     got = {(r.a, r.b) for r in similarity._open(spark.createDataFrame(pairs, "a long, b long"), sketches, 80, 100).collect()}
     assert {(i, j) for i, j in pairs if share(i, j - 100)} <= got and all(len(sets[a]) < 64 or share(a, b - 100) for a, b in got if 0.8 * len(near[b - 100]) <= len(sets[a]) <= len(near[b - 100]) / 0.8)
+
+
+def test_sets_are_written_for_near_pairs_only(spark, monkeypatch):
+    """The sets of all texts were written, and their prefixes sent with sketches."""
+    g = random.Random(8)
+    texts = [" ".join(f"w{g.randrange(10**6)}" for _ in range(1500)) for _ in range(200)]
+    texts += [t + " fine" for t in texts[:4]]
+    written, plain = [], similarity.staged
+
+    def seen(df, label, *rows):
+        out = plain(df, label, *rows)
+        written.append(sum(os.path.getsize(unquote(urlparse(f).path)) for f in out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(similarity, "staged", seen)
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = {(r.a, r.b) for r in similarity.similar_pairs(df, "id", "text").collect()}
+    assert got == {(i, 200 + i) for i in range(4)}
+    assert sum(written) < 0.4 * 8 * 1498 * len(texts)
+
+
+def test_similar_sets_share_a_strong_block():
+    rnd, bands = random.Random(3), parity.Bands(80, 100)
+    for _ in range(400):
+        n = rnd.choice([1, 2, 3, 4, 5, 6, 7, 9, 12, 20, 50, 130, 700])
+        a = {rnd.getrandbits(64) for _ in range(n)}
+        b, gone = set(a), rnd.randrange(0, n // 5 + 1)
+        b -= set(rnd.sample(sorted(b), gone))
+        while True:
+            more = b | {rnd.getrandbits(64)}
+            if 100 * len(a & more) < 80 * len(a | more):
+                break
+            b = more
+        assert 100 * len(a & b) >= 80 * len(a | b)
+        keys = [set(parity.strong_keys(np.array(sorted(own), np.uint64), bands).tolist()) for own in (a, b)]
+        assert a == b or keys[0] & keys[1]
