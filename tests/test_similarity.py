@@ -199,3 +199,17 @@ def test_similar_sets_share_a_strong_block():
         assert 100 * len(a & b) >= 80 * len(a | b)
         keys = [set(parity.strong_keys(np.array(sorted(own), np.uint64), bands).tolist()) for own in (a, b)]
         assert a == b or keys[0] & keys[1]
+
+
+def test_a_common_passage_makes_few_texts_meet(spark, monkeypatch):
+    """A text met all others by each element of the passage that is among the first of its own."""
+    g = random.Random(9)
+    common = " ".join(f"c{i}" for i in range(300))
+    texts = [common + " " + " ".join(f"w{g.randrange(10**9)}" for _ in range(700)) for _ in range(100)]
+    texts += [t + " fine" for t in texts[:3]]
+    linked, met = similarity._linked_members, []
+    monkeypatch.setattr(similarity, "_linked_members", lambda members, *rest: met.append(members.filter("id BETWEEN 3 AND 99").count()) or linked(members, *rest))
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = {(r.id, r.cluster) for r in similarity.similar_clusters(df, "id", "text").collect()}
+    assert got == {(i, i % 100) for i in (0, 1, 2, 100, 101, 102)}
+    assert sum(met) < 20 * len(texts)
